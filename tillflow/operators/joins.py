@@ -20,7 +20,7 @@ SALTS = 64
 
 def estimated_bytes(df: DataFrame) -> int:
     """Spark's own size estimate of the plan, the number its broadcast rule compares."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def broadcast_limit(spark: SparkSession) -> int:

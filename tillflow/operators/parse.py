@@ -20,22 +20,26 @@ _READERS = {
 def decode(raw: DataFrame, entity: str) -> DataFrame:
     """The entity's raw rows with ``doc``: the decoded document, scalars still as text.
 
-    One ``from_json`` per row covers every column. ``source`` is the partition column of the raw
-    table, so the filter prunes the scan to one topic.
+    One ``from_json`` per row covers every column. It sits in a one-element ``explode`` because a
+    filter on ``doc`` would otherwise be pushed below the projection and decode every row twice.
+    ``source`` is the partition column of the raw table, so the filter prunes the scan to one topic.
     """
-    return raw.where(F.col("source") == entity).withColumn(
-        "doc",
-        F.from_json(
-            "raw_json",
-            schemas.decode_schema(entity),
-            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT},
-        ),
+    doc = F.from_json(
+        "raw_json",
+        schemas.decode_schema(entity),
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT},
     )
+    return raw.where(F.col("source") == entity).select("ts", "source", "raw_json", F.explode(F.array(doc)).alias("doc"))
 
 
 def is_readable() -> Column:
-    """True where ``doc`` came from a JSON object of the expected shape."""
-    return F.col("doc").isNotNull() & F.col(f"doc.{schemas.CORRUPT}").isNull()
+    """True where the document is a JSON object.
+
+    A field of an unexpected shape only loses its own value: such a document is flagged by the
+    decoder too, but its top-level keys can be listed. Text after a complete object is ignored.
+    """
+    flagged = F.col(f"doc.{schemas.CORRUPT}").isNotNull()
+    return F.col("doc").isNotNull() & (~flagged | F.json_object_keys("raw_json").isNotNull())
 
 
 def project(decoded: DataFrame, entity: str, *, strict: bool = False, blank_as_empty: bool = False,
@@ -84,13 +88,11 @@ def parse_purchases(raw: DataFrame, **options: bool) -> DataFrame:
 
 def quarantine(raw: DataFrame) -> DataFrame:
     """Raw rows no parser takes: unreadable documents, and topics that are not an entity."""
-    verdict = F.when(~F.coalesce(F.col("source").isin(*schemas.ENTITIES), F.lit(False)), "unknown topic")
+    known = F.coalesce(F.col("source").isin(*schemas.ENTITIES), F.lit(False))
+    bad = raw.where(~known).select("ts", "source", "raw_json", F.lit("unknown topic").alias("problem"))
     for entity in schemas.ENTITIES:
-        doc = F.from_json(
-            "raw_json",
-            schemas.decode_schema(entity),
-            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT},
+        unreadable = decode(raw, entity).where(~is_readable())
+        bad = bad.unionByName(
+            unreadable.select("ts", "source", "raw_json", F.lit("unreadable document").alias("problem"))
         )
-        unreadable = doc.isNull() | doc[schemas.CORRUPT].isNotNull()
-        verdict = verdict.when((F.col("source") == entity) & unreadable, "unreadable document")
-    return raw.withColumn("problem", verdict).where(F.col("problem").isNotNull())
+    return bad

@@ -20,5 +20,6 @@ def publish_broker(messages: DataFrame, servers: str, **options: str) -> None:
 
 
 def publish_files(messages: DataFrame, path: str, mode: str = "append") -> None:
-    """Offline stand-in for the broker: Parquet files partitioned by topic."""
-    messages.write.mode(mode).partitionBy("topic").parquet(path)
+    """Offline stand-in for the broker: Parquet files partitioned by topic, stamped with the send time."""
+    stamped = messages.select("value", F.current_timestamp().alias("sent_at"), "topic")
+    stamped.write.mode(mode).partitionBy("topic").parquet(path)

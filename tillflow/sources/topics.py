@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillflow.schemas import ENTITIES
 
-FILE_SCHEMA = "value string, topic string"
+FILE_SCHEMA = "value string, sent_at timestamp, topic string"
 
 
 def _from_broker(df: DataFrame) -> DataFrame:
@@ -38,7 +38,7 @@ def subscribe_files(spark: SparkSession, path: str, *, files_per_trigger: int |
     reader = spark.readStream.schema(FILE_SCHEMA)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(path).select("topic", "value", F.lit(None).cast("timestamp").alias("sent_at"))
+    return reader.parquet(path).select("topic", "value", "sent_at")
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from tillflow.operators.dedup import keep_latest
+from tillflow.sinks.tables import read_batches, write_batch
+
+TREND_SCHEMA = "day date, purchases bigint, revenue double"
 
 
 def trend_by_day_stream(purchases: DataFrame, delay: str = "1 day") -> DataFrame:
@@ -16,3 +22,21 @@ def trend_by_day_stream(purchases: DataFrame, delay: str = "1 day") -> DataFrame
     return days.agg(F.count(F.lit(1)).alias("purchases"), F.sum("total_amount").alias("revenue")).select(
         F.to_date("window.start").alias("day"), "purchases", "revenue"
     )
+
+
+def start_trend(purchases: DataFrame, root: str, checkpoint: str, delay: str = "1 day") -> StreamingQuery:
+    """Append the corrected days of each batch, up to the end of what the source holds now."""
+    return (
+        trend_by_day_stream(purchases, delay)
+        .writeStream.outputMode("update")
+        .foreachBatch(lambda batch, batch_id: write_batch(batch, f"{root}/trend", batch_id) and None)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def current_trend(spark: SparkSession, root: str) -> DataFrame:
+    """The last correction of each day."""
+    rows = read_batches(spark, f"{root}/trend", TREND_SCHEMA)
+    return keep_latest(rows, ["day"], ["batch_id"]).drop("batch_id")

@@ -23,25 +23,25 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
-def _one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def _one_per_key(df: DataFrame, keys: Sequence[str], order: dict[str, Column]) -> DataFrame:
     # Every other sortable column breaks ties, so the survivor does not depend on row order.
     ties = [
         F.col(f"`{f.name}`").desc_nulls_last()
         for f in df.schema.fields
-        if f.name not in keys and not isinstance(f.dataType, (T.MapType, T.VariantType))
+        if f.name not in keys and f.name not in order and not isinstance(f.dataType, (T.MapType, T.VariantType))
     ]
-    window = Window.partitionBy(*keys).orderBy(*order, *ties)
+    window = Window.partitionBy(*keys).orderBy(*order.values(), *ties)
     return df.withColumn(_RANK, F.row_number().over(window)).where(F.col(_RANK) == 1).drop(_RANK)
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """One row per key: the one with the greatest ``order_by`` (NULL is the least)."""
-    return _one_per_key(df, keys, [F.col(c).desc_nulls_last() for c in order_by])
+    return _one_per_key(df, keys, {c: F.col(c).desc_nulls_last() for c in order_by})
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """One row per key: the one with the smallest ``order_by`` (NULL comes last)."""
-    return _one_per_key(df, keys, [F.col(c).asc_nulls_last() for c in order_by])
+    return _one_per_key(df, keys, {c: F.col(c).asc_nulls_last() for c in order_by})
 
 
 def drop_blank_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.operators.joins import lookup_join
-from tillflow.schemas import ITEM
+from tillflow.schemas import ITEM_ROW
 
 _CARRIED = ("purchase_id", "customer_id", "store_id", "purchase_datetime", "total_amount")
 
@@ -19,7 +19,7 @@ def explode_items(purchases: DataFrame, *, keep_empty: bool = False,
 
     ``keep_empty`` keeps purchases without items as one row of NULL item columns.
     """
-    items = F.from_json("items_json", f"array<{ITEM}>")
+    items = F.from_json("items_json", f"array<struct<{ITEM_ROW}>>")
     explode = F.explode_outer if keep_empty else F.explode
     carried = [c for c in carry if c in purchases.columns]
     return purchases.select(*carried, explode(items).alias("item")).select(

@@ -8,14 +8,15 @@ lookup rows of that key are repeated once per salt.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_HOT, _SALT, _COUNT = "_hot", "_salt", "_n"
+_HOT, _SALT, _COUNT, _MATCHED = "_hot", "_salt", "_n", "_matched"
 
 HOT_SHARE = 1 / 1000  # a key is hot above this share of the rows, so there are at most 1000
-SALTS = 64
+SALTS = 256
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -39,29 +40,40 @@ def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> Data
     return counts.where(F.col(_COUNT) > F.lit(share) * total).select(*on)
 
 
+def _with_salt(big: DataFrame, hot: DataFrame, on: Sequence[str], salts: int) -> DataFrame:
+    """Spread the rows of hot keys over ``salts`` values; all other rows get 0.
+
+    The salt is a hash of the row and of its input partition: it spreads identical copies, and it
+    is the same when a lost task runs again. NULL keys match nothing and are spread as well, as
+    they would otherwise share a reducer.
+    """
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns], F.spark_partition_id()), F.lit(salts))
+    is_null = reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in on])
+    salt = F.when(F.col(_HOT).isNotNull() | is_null, spread).otherwise(F.lit(0)).cast("int")
+    return big.join(hot, list(on), "left").withColumn(_SALT, salt)
+
+
+def _for_every_salt(small: DataFrame, hot: DataFrame, on: Sequence[str], salts: int) -> DataFrame:
+    """Repeat the rows of hot keys once per salt."""
+    every = F.when(F.col(_HOT).isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return small.join(hot, list(on), "left").withColumn(_SALT, F.explode(every))
+
+
+def _hot_side(df: DataFrame, on: Sequence[str], share: float) -> DataFrame:
+    # The hint is safe: hot_keys gives fewer than 1/share rows whatever the size of df.
+    return F.broadcast(hot_keys(df, on, share).withColumn(_HOT, F.lit(True)))
+
+
 def salted_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left", *,
                 share: float = HOT_SHARE, salts: int = SALTS) -> DataFrame:
     """Equi-join whose ``facts`` rows of a hot key go to ``salts`` reducers instead of one.
 
-    ``how``: left, inner, left_semi or left_anti. The salt is a hash of the row and of its input
-    partition: it spreads identical copies, and it is the same when a lost task runs again.
-    Any lookup row of the key is found whatever the salt, so the result does not depend on it.
+    ``how``: left, inner, left_semi or left_anti. Any lookup row of a key is found whatever the
+    salt, so the result does not depend on it.
     """
-    on = list(on)
-    # Bounded by 1/share rows, see hot_keys.
-    hot = F.broadcast(hot_keys(facts, on, share).withColumn(_HOT, F.lit(True)))
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns], F.spark_partition_id()), F.lit(salts))
-    has_null = F.lit(False)
-    for c in on:
-        has_null = has_null | F.col(f"`{c}`").isNull()
-    # A NULL key never matches; it is spread too, as all NULLs would otherwise share a reducer.
-    left = facts.join(hot, on, "left").withColumn(
-        _SALT, F.when(F.col(_HOT).isNotNull() | has_null, spread).otherwise(F.lit(0)).cast("int")
-    ).drop(_HOT)
-    right = lookup.join(hot, on, "left").withColumn(
-        _SALT,
-        F.explode(F.when(F.col(_HOT).isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
-    ).drop(_HOT)
+    hot = _hot_side(facts, on, share)
+    left = _with_salt(facts, hot, on, salts).drop(_HOT)
+    right = _for_every_salt(lookup, hot, on, salts).drop(_HOT)
     return left.join(right, [*on, _SALT], how).drop(_SALT)
 
 
@@ -77,11 +89,14 @@ def fan_out_left_join(unique: DataFrame, repeated: DataFrame, on: Sequence[str],
                       share: float = HOT_SHARE, salts: int = SALTS) -> DataFrame:
     """``unique LEFT JOIN repeated`` where the *right* side may hold a hot key.
 
-    A left join cannot be split on its right side, so the matches come from an inner join with
-    the roles swapped, and the keys without a match are added.
+    Spark cannot split the right side of a left join, so here its hot keys are salted and the left
+    rows of those keys repeated. A hot key has matches by definition, so where one of the repeated
+    left rows meets none, that row is spurious and is removed.
     """
-    on = list(on)
-    columns = unique.columns + [c for c in repeated.columns if c not in on]
-    matched = lookup_join(repeated, unique, on, "inner", share=share, salts=salts).select(*columns)
-    unmatched = unique.join(repeated.select(*on).distinct(), on, "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+    if estimated_bytes(repeated) <= broadcast_limit(unique.sparkSession):
+        return unique.join(repeated, list(on), "left")
+    hot = _hot_side(repeated, on, share)
+    left = _for_every_salt(unique, hot, on, salts)
+    right = _with_salt(repeated, hot, on, salts).drop(_HOT).withColumn(_MATCHED, F.lit(True))
+    joined = left.join(right, [*on, _SALT], "left")
+    return joined.where(F.col(_HOT).isNull() | F.col(_MATCHED).isNotNull()).drop(_HOT, _SALT, _MATCHED)

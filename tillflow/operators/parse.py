@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,16 +19,17 @@ _READERS = {
 }
 
 
-def decode(raw: DataFrame, entity: str) -> DataFrame:
+def decode(raw: DataFrame, entity: str, columns: Sequence[str] | None = None) -> DataFrame:
     """The entity's raw rows with ``doc``: the decoded document, scalars still as text.
 
     One ``from_json`` per row covers every column. It sits in a one-element ``explode`` because a
     filter on ``doc`` would otherwise be pushed below the projection and decode every row twice.
     ``source`` is the partition column of the raw table, so the filter prunes the scan to one topic.
+    ``columns`` limits decoding to the paths of those typed columns.
     """
     doc = F.from_json(
         "raw_json",
-        schemas.decode_schema(entity),
+        schemas.decode_schema(entity, columns),
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT},
     )
     return raw.where(F.col("source") == entity).select("ts", "source", "raw_json", F.explode(F.array(doc)).alias("doc"))
@@ -42,16 +45,16 @@ def is_readable() -> Column:
     return F.col("doc").isNotNull() & (~flagged | F.json_object_keys("raw_json").isNotNull())
 
 
-def project(decoded: DataFrame, entity: str, *, strict: bool = False, blank_as_empty: bool = False,
-            narrow_float32: bool = False) -> DataFrame:
-    """Typed columns of a decoded frame.
+def project(decoded: DataFrame, entity: str, columns: Sequence[str] | None = None, *, strict: bool = False,
+            blank_as_empty: bool = False, narrow_float32: bool = False) -> DataFrame:
+    """Typed columns of a decoded frame, and the load time.
 
     ``strict``          a registration date that does not parse fails the query instead of being NULL
     ``blank_as_empty``  missing text becomes ``''`` (as in stores whose strings cannot be NULL)
     ``narrow_float32``  numbers pass through single precision, losing digits
     """
-    columns = []
-    for field in schemas.TYPED[entity]:
+    values = []
+    for field in schemas.typed_fields(entity, columns):
         text = F.col(f"doc.{field.path}")
         if field.kind == "text":
             value = F.coalesce(text, F.lit("")) if blank_as_empty else text
@@ -61,29 +64,29 @@ def project(decoded: DataFrame, entity: str, *, strict: bool = False, blank_as_e
             value = _READERS[field.kind](text)
             if field.kind == "float" and narrow_float32:
                 value = value.cast("float").cast("double")
-        columns.append(value.alias(field.name))
-    return decoded.select(*columns, F.col("ts").alias("ins_ts"))
+        values.append(value.alias(field.name))
+    return decoded.select(*values, F.col("ts").alias("ins_ts"))
 
 
-def parse(raw: DataFrame, entity: str, **options: bool) -> DataFrame:
+def parse(raw: DataFrame, entity: str, columns: Sequence[str] | None = None, **options: bool) -> DataFrame:
     """Typed table of one entity; unreadable documents are left to :func:`quarantine`."""
-    return project(decode(raw, entity).where(is_readable()), entity, **options)
+    return project(decode(raw, entity, columns).where(is_readable()), entity, columns, **options)
 
 
-def parse_customers(raw: DataFrame, **options: bool) -> DataFrame:
-    return parse(raw, "customers", **options)
+def parse_customers(raw: DataFrame, columns: Sequence[str] | None = None, **options: bool) -> DataFrame:
+    return parse(raw, "customers", columns, **options)
 
 
-def parse_products(raw: DataFrame, **options: bool) -> DataFrame:
-    return parse(raw, "products", **options)
+def parse_products(raw: DataFrame, columns: Sequence[str] | None = None, **options: bool) -> DataFrame:
+    return parse(raw, "products", columns, **options)
 
 
-def parse_stores(raw: DataFrame, **options: bool) -> DataFrame:
-    return parse(raw, "stores", **options)
+def parse_stores(raw: DataFrame, columns: Sequence[str] | None = None, **options: bool) -> DataFrame:
+    return parse(raw, "stores", columns, **options)
 
 
-def parse_purchases(raw: DataFrame, **options: bool) -> DataFrame:
-    return parse(raw, "purchases", **options)
+def parse_purchases(raw: DataFrame, columns: Sequence[str] | None = None, **options: bool) -> DataFrame:
+    return parse(raw, "purchases", columns, **options)
 
 
 def quarantine(raw: DataFrame) -> DataFrame:

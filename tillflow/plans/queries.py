@@ -156,7 +156,8 @@ def items_enriched(spark, sf_dir):
 
 
 def purchase_items_explode(spark, sf_dir):
-    typed = parse(star.raw(star.item_documents(spark, sf_dir), "purchases"), "purchases")
+    typed = parse(star.raw(star.item_documents(spark, sf_dir), "purchases"), "purchases",
+                  ("purchase_id", "store_id", "items_json"))
     return explode_items(typed, carry=("purchase_id", "store_id"))
 
 

@@ -7,6 +7,7 @@ decode the text is derived from those paths, so only what a table needs is decod
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import types as T
@@ -23,10 +24,12 @@ _ADDRESS = (
 _NUTRITION = "struct<calories: double, protein: double, fat: double, carbohydrates: double>"
 _MAKER = "struct<name: string, country: string, website: string, inn: string>"
 
-ITEM = (
-    "struct<product_id: string, name: string, category: string, quantity: bigint, unit: string, "
-    f"price_per_unit: double, total_price: double, kbju: {_NUTRITION}, manufacturer: {_MAKER}>"
+# What an item row needs; decoding skips the nutrition and maker details each item also carries.
+ITEM_ROW = (
+    "product_id: string, name: string, category: string, quantity: bigint, unit: string, "
+    "price_per_unit: double, total_price: double"
 )
+ITEM = f"struct<{ITEM_ROW}, kbju: {_NUTRITION}, manufacturer: {_MAKER}>"
 
 # Source documents, one JSON object each.
 DOCUMENTS = {
@@ -155,10 +158,15 @@ TYPED = {
 CORRUPT = "_corrupt"
 
 
-def decode_schema(entity: str) -> T.StructType:
+def typed_fields(entity: str, columns: Sequence[str] | None = None) -> tuple[Field, ...]:
+    """The entity's typed columns, or those named in ``columns``."""
+    return tuple(f for f in TYPED[entity] if columns is None or f.name in columns)
+
+
+def decode_schema(entity: str, columns: Sequence[str] | None = None) -> T.StructType:
     """Schema that reads each typed path as text, plus a column for documents that do not parse."""
     tree: dict = {}
-    for field in TYPED[entity]:
+    for field in typed_fields(entity, columns):
         node = tree
         *parents, leaf = field.path.split(".")
         for parent in parents:

@@ -54,7 +54,9 @@ def land_batch(messages: DataFrame, batch_id: int, root: str, *, as_of: AsOf = N
     landed = write_batch(raw_records(messages), f"{root}/raw", batch_id, ["source"])
     raw = spark.read.schema(schemas.RAW).parquet(landed)
     write_batch(quarantine(raw), f"{root}/quarantine", batch_id)
-    for entity in schemas.ENTITIES:
+    # Topics in this batch: a handful of names, read from the folder names of what was landed.
+    topics = {row.source for row in raw.select("source").distinct().collect()}
+    for entity in topics.intersection(schemas.ENTITIES):
         typed_path = write_batch(
             project(decode(raw, entity).where(is_readable()), entity), f"{root}/typed/{entity}", batch_id
         )

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -13,6 +14,7 @@ def spark():
     session = build_session(
         "tests", "local[4]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false", spark__driver__memory="4g",
+        spark__sql__warehouse__dir=tempfile.mkdtemp(prefix="tillflow-warehouse-"),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

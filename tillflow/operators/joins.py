@@ -34,7 +34,11 @@ def broadcast_limit(spark: SparkSession) -> int:
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys held by more than ``share`` of the rows: fewer than 1/``share`` of them by definition."""
+    """Keys held by more than ``share`` of the rows: fewer than 1/``share`` of them by definition.
+
+    Counted exactly. The list is worked out once per side of a join, and both must come out equal;
+    a sample or a sketch could differ at its edge. Only the key column is scanned.
+    """
     counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias(_COUNT))
     total = counts.agg(F.sum(_COUNT)).scalar()
     return counts.where(F.col(_COUNT) > F.lit(share) * total).select(*on)

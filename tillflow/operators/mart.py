@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from tillflow.functions import lenient
 from tillflow.functions.clock import AsOf, as_of_like, days_before, start_of_day
 from tillflow.operators.dedup import keep_first, keep_latest
-from tillflow.operators.joins import fan_out_left_join
+from tillflow.operators.joins import fan_out_left_join, lookup_join
 from tillflow.schemas import MART_COLUMNS
 
 NEW_CUSTOMER_DAYS = 30
@@ -145,7 +145,7 @@ def mart_delta(changed_purchases: DataFrame, changed_customers: DataFrame, purch
     A customer left without purchases comes back with ``purchase_count`` NULL: remove the row.
     """
     resent = changed_purchases.select("purchase_id").distinct()
-    former = purchases.select("purchase_id", "customer_id").join(resent, "purchase_id", "left_semi")
+    former = lookup_join(purchases.select("purchase_id", "customer_id"), resent, ["purchase_id"], "left_semi")
     affected = (
         changed_purchases.select("customer_id")
         .unionByName(changed_customers.select("customer_id"))
@@ -153,6 +153,6 @@ def mart_delta(changed_purchases: DataFrame, changed_customers: DataFrame, purch
         .dropna()
         .distinct()
     )
-    theirs = keep_latest(purchases.join(affected, "customer_id", "left_semi"), ["purchase_id"], latest_by)
-    who = keep_latest(customers.join(affected, "customer_id", "left_semi"), ["customer_id"], latest_by)
+    theirs = keep_latest(lookup_join(purchases, affected, ["customer_id"], "left_semi"), ["purchase_id"], latest_by)
+    who = keep_latest(lookup_join(customers, affected, ["customer_id"], "left_semi"), ["customer_id"], latest_by)
     return affected.join(customer_mart(theirs, who, as_of=as_of), "customer_id", "left")

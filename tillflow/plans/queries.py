@@ -334,33 +334,30 @@ def mask_nested(spark, sf_dir):
 # --- streams: run to the end of the input, then read what they wrote -----------------------------------------
 
 
-def _publish(spark, sf_dir, root, *entities):
-    for entity in entities:
-        documents = _DOCUMENTS[entity](spark, sf_dir)
-        for delivery in (0, 1):
-            sent = documents.where(F.col("delivery") == delivery).drop("delivery")
+def _stream_deliveries(spark, sf_dir, root, entities, after_batch=None):
+    """Publish the first deliveries and run the stream to their end, then the same for the second ones."""
+    for delivery in (0, 1):
+        for entity in entities:
+            sent = _DOCUMENTS[entity](spark, sf_dir).where(F.col("delivery") == delivery).drop("delivery")
             messages = to_messages(docmask.mask_documents(sent, star.mask_key(spark)), entity)
             publish_files(messages, f"{root}/topics")
+        stream = subscribe_files(spark, f"{root}/topics")
+        start_ingest(stream, root, f"{root}/checkpoint", as_of=star.AS_OF, after_batch=after_batch).awaitTermination()
 
 
 def stream_ingest_clean(spark, sf_dir):
-    """Topic → raw → typed → clean over several micro-batches; the repeats meet across batches."""
+    """Topic → raw → typed → clean over two micro-batches; the repeats meet across batches."""
     root = work_dir(spark, "ingest")
-    _publish(spark, sf_dir, root, "purchases")
-    stream = subscribe_files(spark, f"{root}/topics", files_per_trigger=1)
-    start_ingest(stream, root, f"{root}/checkpoint", as_of=star.AS_OF).awaitTermination()
+    _stream_deliveries(spark, sf_dir, root, ["purchases"])
     return shown(current(spark, root, "purchases").drop("ins_ts", "total_amount"))
 
 
 def stream_mart_refresh(spark, sf_dir):
     """The mart after every batch has refreshed the customers it touched."""
     root = work_dir(spark, "mart-stream")
-    _publish(spark, sf_dir, root, "customers", "purchases")
-    stream = subscribe_files(spark, f"{root}/topics", files_per_trigger=2)
-    start_ingest(
-        stream, root, f"{root}/checkpoint", as_of=star.AS_OF,
-        after_batch=lambda session, batch_id: refresh_affected(session, batch_id, root, as_of=star.AS_OF),
-    ).awaitTermination()
+    _stream_deliveries(
+        spark, sf_dir, root, ["customers", "purchases"],
+        after_batch=lambda session, batch_id: refresh_affected(session, batch_id, root, as_of=star.AS_OF))
     return shown(current_mart(spark, root).drop("total_spent", "avg_basket"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.operators.features import category_group
-from tillflow.operators.joins import lookup_join
+from tillflow.operators.joins import estimated_bytes, lookup_join
 
 AS_OF = "1996-01-01 00:00:00"
 DEMO_KEY = "only-for-the-given-tables"
@@ -22,6 +22,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, limit: int = 128 << 20) -> DataFrame:
+    """Share the rows of a small table, which is one split, among all cores before costly JSON work.
+
+    A table above ``limit`` has splits enough of its own and is not shuffled.
+    """
+    if estimated_bytes(df) > limit:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def mask_key(spark: SparkSession) -> str:
     return spark.conf.get("spark.tillflow.maskKey", DEMO_KEY)
 
@@ -179,7 +189,7 @@ def customer_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text(nation).alias("house"),
     ]
     postal = F.lpad(_text(nation), 6, "0").alias("postal_code")
-    return table(spark, sf_dir, "customer").withColumn("delivery", _deliveries(key, 10)).select(
+    return spread(table(spark, sf_dir, "customer")).withColumn("delivery", _deliveries(key, 10)).select(
         F.when(key % 97 == 0, "  ").otherwise(F.concat(F.lit("cus-"), _text(key))).alias("customer_id"),
         F.col("c_name").alias("first_name"),
         F.col("c_mktsegment").alias("last_name"),
@@ -200,7 +210,7 @@ def customer_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def product_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, size = F.col("p_partkey"), F.col("p_size")
-    return table(spark, sf_dir, "part").withColumn("delivery", _deliveries(key, 10)).select(
+    return spread(table(spark, sf_dir, "part")).withColumn("delivery", _deliveries(key, 10)).select(
         F.concat(F.lit("prd-"), _text(key)).alias("id"),
         F.col("p_name").alias("name"),
         F.col("p_type").alias("group"),
@@ -252,7 +262,7 @@ def store_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def purchase_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchase documents without their items, see :func:`item_documents`."""
     key = F.col("o_orderkey")
-    return table(spark, sf_dir, "orders").withColumn("delivery", _deliveries(key, 10)).select(
+    return spread(table(spark, sf_dir, "orders")).withColumn("delivery", _deliveries(key, 10)).select(
         F.concat(F.lit("ord-"), _text(key)).alias("purchase_id"),
         F.struct(F.concat(F.lit("cus-"), _text(F.col("o_custkey"))).alias("customer_id")).alias("customer"),
         F.struct(F.col("o_orderpriority").alias("store_id")).alias("store"),
@@ -288,7 +298,7 @@ def item_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     quantity = F.col("l_quantity")
-    return table(spark, sf_dir, "lineitem").select(
+    return spread(table(spark, sf_dir, "lineitem")).select(
         F.concat(F.lit("ord-"), _text(F.col("l_orderkey")), F.lit("-"), _text(line)).alias("purchase_id"),
         F.struct(F.lit("cus-0").alias("customer_id")).alias("customer"),
         F.struct(F.concat(F.lit("store-"), _text(F.col("l_suppkey"))).alias("store_id")).alias("store"),

@@ -116,7 +116,16 @@ def test_redelivered_messages(spark, tmp_path, salts):
     assert rows(keep_latest(out, ["k"], ["ts"]), "k") == rows(out, "k")
 
 
-def test_trend_equals_batch(spark, tmp_path):
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo", "America/New_York"])
+def test_trend_equals_batch(spark, tmp_path, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        trend(spark, tmp_path)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def trend(spark, tmp_path):
     path, root = str(tmp_path / "in"), str(tmp_path / "lake")
     sales = spark.range(200).select(
         F.timestamp_seconds(1735689600 + F.col("id") * 40000 % 900000).alias("purchase_datetime"), (F.col("id") * 1.0).alias("total_amount"))

@@ -16,11 +16,14 @@ def trend_by_day_stream(purchases: DataFrame, delay: str = "1 day") -> DataFrame
     """Purchases and revenue per day; state holds one row per open day.
 
     In append mode a day is final once the watermark passes it; in update mode it is corrected
-    with every batch.
+    with every batch. Windows are cut at midnight UTC, so times are first moved by the session
+    zone's offset and the window start is moved back.
     """
-    days = purchases.withWatermark("purchase_datetime", delay).groupBy(F.window("purchase_datetime", "1 day"))
+    zone = purchases.sparkSession.conf.get("spark.sql.session.timeZone")
+    local = purchases.withColumn("_local", F.from_utc_timestamp("purchase_datetime", zone))
+    days = local.withWatermark("_local", delay).groupBy(F.window("_local", "1 day"))
     return days.agg(F.count(F.lit(1)).alias("purchases"), F.sum("total_amount").alias("revenue")).select(
-        F.to_date("window.start").alias("day"), "purchases", "revenue"
+        F.to_date(F.to_utc_timestamp("window.start", zone)).alias("day"), "purchases", "revenue"
     )
 
 

@@ -12,7 +12,7 @@ from tillflow.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tests", "local[4]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
+        "tests", "local[8]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false", spark__driver__memory="4g",
         spark__sql__warehouse__dir=tempfile.mkdtemp(prefix="tillflow-warehouse-"),
     )

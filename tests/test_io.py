@@ -12,7 +12,7 @@ from tillflow import schemas
 from tillflow.plans import jobs
 from tillflow.session import shared_dir
 from tillflow.sinks.csv import dated_name, export_csv
-from tillflow.sinks.tables import read_batches, refresh_folder, refresh_table, stamped, write_batch
+from tillflow.sinks.tables import read_batches, read_latest, refresh_folder, refresh_table, stamped, write_batch
 from tillflow.sinks.topics import publish_files
 from tillflow.sources.documents import read_documents
 from tillflow.sources.tables import first_existing, read_table
@@ -96,6 +96,11 @@ def test_refresh(spark, tmp_path):
     assert spark.read.parquet(first).count() == 3
     assert spark.read.parquet(second).columns == ["id", "ins_ts"] and spark.read.parquet(second).count() == 0
     assert read_table(spark, first).count() == 3
+    assert read_latest(spark, str(tmp_path / "m")).count() == 0
+    refresh_folder(stamped(spark.range(4)), str(tmp_path / "m"), "3")
+    stamped(spark.range(9)).write.parquet(str(tmp_path / "m" / "version=4"))  # written but never published
+    latest = read_latest(spark, str(tmp_path / "m"))
+    assert latest.columns == ["id", "ins_ts"] and latest.count() == 4
 
 
 def test_tables_and_fallback(spark):

@@ -38,12 +38,21 @@ def refresh_table(df: DataFrame, table: str) -> None:
 
 
 def refresh_folder(df: DataFrame, root: str, version: str, *, sort_by: Sequence[str] = ()) -> str:
-    """Full refresh of a folder table: write a new version beside the old one and return its path.
+    """Full refresh of a folder table: write a new version beside the old ones and return its path.
 
-    Readers keep the version they opened, so none sees a half-written table. ``sort_by`` sorts
-    inside each task's file, which gives row-group statistics without another shuffle.
+    The version is published by one small row only after its data is complete, so readers never
+    see a half-written table. Versions are ordered as text. ``sort_by`` sorts inside each task's
+    file, which gives row-group statistics without another shuffle.
     """
     target = f"{root}/version={version}"
     out = df.sortWithinPartitions(*sort_by) if sort_by else df
     out.write.mode("overwrite").parquet(target)
+    note = df.sparkSession.range(1).select(F.lit(version).alias("version"))
+    note.write.mode("append").parquet(f"{root}/published")
     return target
+
+
+def read_latest(spark: SparkSession, root: str) -> DataFrame:
+    """The newest published version below ``root``, which may be an empty table."""
+    newest = spark.read.schema("version string").parquet(f"{root}/published").agg(F.max("version")).first()[0]
+    return spark.read.parquet(f"{root}/version={newest}")

@@ -37,7 +37,8 @@ BATCHES = [
     [("purchases", purchase(3, "c9", 99, 4)),            # sent again, now with another owner and amount
      ("purchases", purchase(50, "c1", -5, 4)),           # rejected
      ("purchases", "{broken"), ("gossip", {"x": 1}), ("customers", customer("c0", True))],
-    [("purchases", purchase(3, "c9", 99, 4)), ("purchases", purchase(60, "c1", 7, 20)), ("customers", customer("c9", True))],
+    [("purchases", purchase(3, "c9", 99, 4)), ("purchases", purchase(60, "c1", 7, 20)),
+     ("purchases", purchase(61, "c3", 5, 21)), ("customers", customer("c9", True))],
 ]
 
 
@@ -94,9 +95,11 @@ def test_streamed_mart_equals_full_refresh(spark, topics, tmp_path):
     root = str(tmp_path / "lake")
     run(spark, topics, root, after_batch=lambda s, b: refresh_affected(s, b, root, as_of=AS_OF))
     full = customer_mart(current(spark, root, "purchases"), current(spark, root, "customers"), as_of=AS_OF)
-    got = current_mart(spark, root)
+    got = current_mart(spark, root, as_of=AS_OF)
     assert rows(got) == rows(full) and got.count() == 5
     assert rows(got.where("customer_id = 'c9'"), "purchase_count", "total_spent", "is_loyalty_member") == [(1, 99.0, 1)]
+    assert {r.new_customer for r in got.where("registration_date IS NOT NULL").collect()} == {1}
+    assert current_mart(spark, root, as_of="2025-06-01 00:00:00").where("new_customer = 1").count() == 0
 
 
 @pytest.mark.parametrize("salts", [1, 4])

@@ -102,12 +102,17 @@ def _customers_ready(customers: DataFrame) -> DataFrame:
     return df.select("customer_id", _instant(df, "registration_date").alias("registration_date"), _loyalty(df))
 
 
+def registered_lately(df: DataFrame, as_of: AsOf) -> Column:
+    """Registered less than 30 whole days of 24 h before ``as_of``; a later date counts as well."""
+    return F.col("registration_date") > days_before(as_of_like(df, "registration_date", as_of), NEW_CUSTOMER_DAYS)
+
+
 def customer_agg(purchases: DataFrame) -> DataFrame:
     """The purchase side of the tolerant mart."""
     return customer_totals(_purchases_ready(purchases), count=F.count("purchase_id"))
 
 
-def _finish(totals: DataFrame, customers: DataFrame, joined: DataFrame, is_new: Column) -> DataFrame:
+def _finish(totals: DataFrame, joined: DataFrame, is_new: Column) -> DataFrame:
     return joined.select(
         *totals.columns,
         F.when(is_new, 1).otherwise(0).alias("new_customer"),
@@ -121,8 +126,7 @@ def customer_mart(purchases: DataFrame, customers: DataFrame, *, as_of: AsOf = N
     totals = customer_agg(purchases)
     known = keep_first(_customers_ready(customers), ["customer_id"], ["registration_date"])
     joined = totals.join(known, ["customer_id"], "left")
-    now = as_of_like(known, "registration_date", as_of)
-    return _finish(totals, known, joined, F.col("registration_date") > days_before(now, NEW_CUSTOMER_DAYS))
+    return _finish(totals, joined, registered_lately(known, as_of))
 
 
 def customer_mart_sql(purchases: DataFrame, customers: DataFrame, *, as_of: AsOf = None) -> DataFrame:
@@ -132,27 +136,34 @@ def customer_mart_sql(purchases: DataFrame, customers: DataFrame, *, as_of: AsOf
     joined = fan_out_left_join(totals, known, ["customer_id"])
     today = start_of_day(as_of_like(known, "registration_date", as_of))
     is_new = F.datediff(today, F.to_date("registration_date")) < NEW_CUSTOMER_DAYS
-    return _finish(totals, known, joined, is_new)
+    return _finish(totals, joined, is_new)
 
 
-def mart_delta(changed_purchases: DataFrame, changed_customers: DataFrame, purchases: DataFrame,
-               customers: DataFrame, *, as_of: AsOf = None,
-               latest_by: tuple[str, ...] = ("ins_ts",)) -> DataFrame:
-    """Mart rows that a batch of changes makes stale, computed anew from the whole history.
-
-    ``purchases`` and ``customers`` are the histories including the batch, repeats and all. Affected
-    are the customers named in the batch and the former owners of purchases that were sent again.
-    A customer left without purchases comes back with ``purchase_count`` NULL: remove the row.
+def affected_customers(changed_purchases: DataFrame, changed_customers: DataFrame, purchases: DataFrame) -> DataFrame:
+    """Customers whose mart row a batch makes stale: those it names, and the former owners of
+    purchases it sends again. ``purchases`` is the history including the batch, repeats and all.
     """
     resent = changed_purchases.select("purchase_id").distinct()
     former = lookup_join(purchases.select("purchase_id", "customer_id"), resent, ["purchase_id"], "left_semi")
-    affected = (
+    return (
         changed_purchases.select("customer_id")
         .unionByName(changed_customers.select("customer_id"))
         .unionByName(former.select("customer_id"))
         .dropna()
         .distinct()
     )
-    theirs = keep_latest(lookup_join(purchases, affected, ["customer_id"], "left_semi"), ["purchase_id"], latest_by)
+
+
+def mart_delta(affected: DataFrame, purchases: DataFrame, customers: DataFrame, *, as_of: AsOf = None,
+               latest_by: tuple[str, ...] = ("ins_ts",)) -> DataFrame:
+    """Mart rows of the affected customers, computed anew from the whole history.
+
+    A purchase that ever belonged to one of them is judged by its last delivery, whoever owns it
+    now. A customer left without purchases comes back with ``purchase_count`` NULL: remove the row.
+    """
+    touched = lookup_join(purchases.select("purchase_id", "customer_id"), affected, ["customer_id"], "left_semi")
+    deliveries = lookup_join(purchases, touched.select("purchase_id").distinct(), ["purchase_id"], "left_semi")
+    last = keep_latest(deliveries, ["purchase_id"], latest_by)
+    theirs = lookup_join(last, affected, ["customer_id"], "left_semi")
     who = keep_latest(lookup_join(customers, affected, ["customer_id"], "left_semi"), ["customer_id"], latest_by)
     return affected.join(customer_mart(theirs, who, as_of=as_of), "customer_id", "left")

@@ -358,7 +358,7 @@ def stream_mart_refresh(spark, sf_dir):
     _stream_deliveries(
         spark, sf_dir, root, ["customers", "purchases"],
         after_batch=lambda session, batch_id: refresh_affected(session, batch_id, root, as_of=star.AS_OF))
-    return shown(current_mart(spark, root).drop("total_spent", "avg_basket"))
+    return shown(current_mart(spark, root, as_of=star.AS_OF).drop("total_spent", "avg_basket"))
 
 
 def _orders_stream(spark, sf_dir):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillflow.functions.clock import AsOf
 from tillflow.operators.dedup import keep_latest
-from tillflow.operators.mart import mart_delta
+from tillflow.operators.mart import affected_customers, mart_delta, registered_lately
 from tillflow.sinks.tables import read_batches, write_batch
 from tillflow.streaming.ingest import history
 
@@ -23,19 +23,22 @@ def refresh_affected(spark: SparkSession, batch_id: int, root: str, *, as_of: As
     """Recompute the customers one batch touches and append their rows under its ``batch_id``."""
     purchases = history(spark, root, "purchases").where(F.col("batch_id") <= batch_id)
     customers = history(spark, root, "customers").where(F.col("batch_id") <= batch_id)
-    delta = mart_delta(
-        purchases.where(F.col("batch_id") == batch_id),
-        customers.where(F.col("batch_id") == batch_id),
-        purchases,
-        customers,
-        as_of=as_of,
-        latest_by=("ins_ts", "batch_id"),
+    batch = F.col("batch_id") == batch_id
+    # Stored before use: it is needed several times, and its size is then known to the joins.
+    stored = write_batch(
+        affected_customers(purchases.where(batch), customers.where(batch), purchases), f"{root}/affected", batch_id
     )
+    affected = spark.read.schema("customer_id string").parquet(stored)
+    delta = mart_delta(affected, purchases, customers, as_of=as_of, latest_by=("ins_ts", "batch_id"))
     return write_batch(delta, f"{root}/mart", batch_id)
 
 
-def current_mart(spark: SparkSession, root: str) -> DataFrame:
-    """The latest row of each customer; customers without purchases left are gone."""
+def current_mart(spark: SparkSession, root: str, *, as_of: AsOf = None) -> DataFrame:
+    """The latest row of each customer; customers without purchases left are gone.
+
+    Who is new changes with time alone, so that flag is judged when read, not when stored.
+    """
     rows = read_batches(spark, f"{root}/mart", MART_SCHEMA)
-    latest = keep_latest(rows, ["customer_id"], ["batch_id"])
-    return latest.where(F.col("purchase_count").isNotNull()).drop("batch_id")
+    latest = keep_latest(rows, ["customer_id"], ["batch_id"]).where(F.col("purchase_count").isNotNull())
+    is_new = F.when(registered_lately(latest, as_of), 1).otherwise(0)
+    return latest.withColumn("new_customer", is_new).drop("batch_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import pii
+from tillflow.llm import pii, secrets
 from tillflow.llm.common import table
 from tillflow.llm.spans import counted, joined, only
 
@@ -19,4 +19,12 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         counted(found, "iban").alias("n_iban"))
 
 
-QUERIES = {"op1_pii": op1_pii}
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = F.col("secrets")
+    return secrets.find_secrets(docs).select(
+        "doc_id", *[counted(found, k).alias(f"n_{k}") for k in secrets.BASE],
+        F.sha2(joined(only(found, *secrets.BASE)), 256).alias("base_sha256"), joined(found).alias("spans"))
+
+
+QUERIES = {"op1_pii": op1_pii, "op4_secrets": op4_secrets}

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.llm import pii, secrets
+from tillflow.llm import decontaminate as decon
+from tillflow.llm import sharding
 from tillflow.llm.common import table
 from tillflow.llm.spans import counted, joined, only
 
@@ -27,4 +29,22 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined(only(found, *secrets.BASE)), 256).alias("base_sha256"), joined(found).alias("spans"))
 
 
-QUERIES = {"op1_pii": op1_pii, "op4_secrets": op4_secrets}
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = decon.mark_contamination(docs, table(spark, sf_dir, "benchmark"))
+    return marked.select("doc_id", "n_words", "n_hit", "n_items",
+                         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.assign_shards(docs, shards=24).select(
+        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+QUERIES = {
+    "op1_pii": op1_pii,
+    "op4_secrets": op4_secrets,
+    "op7_decontamination": op7_decontamination,
+    "op10_sharding": op10_sharding,
+}

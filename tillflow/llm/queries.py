@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillflow.llm import pii, secrets
 from tillflow.llm import decontaminate as decon
-from tillflow.llm import sharding
+from tillflow.llm import sharding, syncmers
 from tillflow.llm.common import table
 from tillflow.llm.spans import counted, joined, only
 
@@ -21,6 +21,15 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         counted(found, "iban").alias("n_iban"))
 
 
+def op2_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return syncmers.fingerprints_with_next(docs).select(
+        F.col("key").alias("doc_id"), "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        syncmers.shown(F.col("own")).alias("fingerprint"), syncmers.shown(F.col("edited_own")).alias("edited_fingerprint"),
+        syncmers.likeness(F.col("own"), F.col("edited_own")).alias("near_edited"),
+        syncmers.likeness(F.col("own"), F.col("next")).alias("near_next"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = F.col("secrets")
@@ -44,6 +53,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_syncmers": op2_syncmers,
     "op4_secrets": op4_secrets,
     "op7_decontamination": op7_decontamination,
     "op10_sharding": op10_sharding,

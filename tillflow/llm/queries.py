@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillflow.llm import pii, secrets
 from tillflow.llm import decontaminate as decon
-from tillflow.llm import sharding, syncmers
+from tillflow.llm import minhash, sharding, syncmers
 from tillflow.llm.common import table
 from tillflow.llm.spans import counted, joined, only
 
@@ -30,6 +30,11 @@ def op2_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
         syncmers.likeness(F.col("own"), F.col("next")).alias("near_next"))
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(docs, shingle=2).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = F.col("secrets")
@@ -54,6 +59,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_syncmers": op2_syncmers,
+    "op3_minhash": op3_minhash,
     "op4_secrets": op4_secrets,
     "op7_decontamination": op7_decontamination,
     "op10_sharding": op10_sharding,

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.llm import pii, secrets
 from tillflow.llm import decontaminate as decon
-from tillflow.llm import minhash, sharding, syncmers
+from tillflow.llm import bpe, minhash, sharding, syncmers
 from tillflow.llm.common import table
 from tillflow.llm.spans import counted, joined, only
 
@@ -50,6 +51,16 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str, rank_file: str | None = None) -> DataFrame:
+    ranks = bpe.read_ranks(rank_file or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = bpe.decode(bpe.encode(docs, ranks, pattern=public_tokenizers.PATTERN), ranks)
+    return both.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.assign_shards(docs, shards=24).select(
@@ -62,5 +73,6 @@ QUERIES = {
     "op3_minhash": op3_minhash,
     "op4_secrets": op4_secrets,
     "op7_decontamination": op7_decontamination,
+    "op9_bpe": op9_bpe,
     "op10_sharding": op10_sharding,
 }

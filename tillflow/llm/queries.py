@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 from tillflow.llm import pii, secrets
 from tillflow.llm import decontaminate as decon
 from tillflow.llm import bpe, minhash, sharding, syncmers
+from tillflow.llm import quality as ranking
+from tillflow.llm import toxicity as lexical
 from tillflow.llm.common import table
+from tillflow.llm.learning import held_out
 from tillflow.llm.spans import counted, joined, only
 
 
@@ -44,6 +47,12 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined(only(found, *secrets.BASE)), 256).alias("base_sha256"), joined(found).alias("spans"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = lexical.score_toxicity(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     marked = decon.mark_contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -51,6 +60,12 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = ranking.score_quality(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str, rank_file: str | None = None) -> DataFrame:
     ranks = bpe.read_ranks(rank_file or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -72,7 +87,9 @@ QUERIES = {
     "op2_syncmers": op2_syncmers,
     "op3_minhash": op3_minhash,
     "op4_secrets": op4_secrets,
+    "op6_toxicity": op6_toxicity,
     "op7_decontamination": op7_decontamination,
+    "op8_quality": op8_quality,
     "op9_bpe": op9_bpe,
     "op10_sharding": op10_sharding,
 }

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tillflow.llm import pii, secrets
 from tillflow.llm import decontaminate as decon
-from tillflow.llm import bpe, minhash, sharding, syncmers
+from tillflow.llm import bpe, minhash, sharding, substrings, syncmers
 from tillflow.llm import quality as ranking
 from tillflow.llm import toxicity as lexical
 from tillflow.llm.common import table
@@ -47,6 +47,13 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined(only(found, *secrets.BASE)), 256).alias("base_sha256"), joined(found).alias("spans"))
 
 
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.shared_passages(docs).select(
+        "doc_id", "start", "end", F.col("other_id").alias("other_doc_id"), "other_start", "other_end",
+        F.round("similarity", 4).alias("similarity"), "copies")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = lexical.score_toxicity(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
@@ -87,6 +94,7 @@ QUERIES = {
     "op2_syncmers": op2_syncmers,
     "op3_minhash": op3_minhash,
     "op4_secrets": op4_secrets,
+    "op5_substrings": op5_substrings,
     "op6_toxicity": op6_toxicity,
     "op7_decontamination": op7_decontamination,
     "op8_quality": op8_quality,

@@ -157,3 +157,22 @@ def find_secrets(df: DataFrame, text: str = "text", result: str = "secrets", rul
 
     out = found.select(f"{row}.*", F.array_sort(F.concat(*[listed(i, r) for i, r in enumerate(rules)])).alias(spans))
     return with_results(out, **{result: F.col(spans)}).drop(spans)
+
+
+def redact(df: DataFrame, text: str = "text", found: str = "secrets", mark: str = "[secret]") -> DataFrame:
+    """``df`` with every span of ``found`` replaced by ``mark`` in ``text``; spans that overlap become one mark.
+
+    A NULL text stays NULL.
+    """
+    whole = F.col(f"`{text}`")
+    zero = F.struct(F.lit(0).alias("upto"), F.lit("").alias("out"))
+
+    def step(state: Column, span: Column) -> Column:
+        piece = F.when(span["start"] < state["upto"], "").when(
+            (span["start"] == state["upto"]) & (state["upto"] > 0), "").otherwise(F.concat(
+                F.substring(whole, state["upto"] + 1, span["start"] - state["upto"]), F.lit(mark)))
+        return F.struct(F.greatest(state["upto"], span["end"]).alias("upto"), F.concat(state["out"], piece).alias("out"))
+
+    cleaned = F.aggregate(F.col(found), zero, step, lambda s: F.concat(
+        s["out"], F.substring(whole, s["upto"] + 1, F.greatest(F.char_length(whole) - s["upto"], F.lit(0)))))
+    return df.withColumn(text, F.when(F.size(found) > 0, cleaned).otherwise(whole))

@@ -24,14 +24,14 @@ def components(links: DataFrame) -> DataFrame:
     for _ in range(MOST_ROUNDS):
         parents = written(edges.groupBy("hi").agg(F.min("lo").alias("p")), "parents")
         up = parents.select(F.col("hi").alias("p"), F.col("p").alias("pp"))
-        jumped = parents.join(up, "p", "left")
         # Each node's smallest neighbour is its parent, moved to that one's parent where there is one; its other
         # neighbours become neighbours of the parent. What was connected stays connected, and all numbers fall.
-        others = edges.join(parents, "hi").where("lo <> p").select(F.col("lo").alias("hi"), F.col("p").alias("lo"))
-        moved = written(jumped.select("hi", F.coalesce("pp", "p").alias("lo")).unionAll(others).distinct(), "edges")
-        changed = moved.join(edges, ["hi", "lo"], "left_anti").limit(1).count()
-        edges = moved
-        if not changed and moved.count() == parents.count():
+        jumped = parents.join(up, "p", "left").select(
+            "hi", F.coalesce("pp", "p").alias("lo"), F.col("pp").isNotNull().alias("moved"))
+        others = edges.join(parents, "hi").where("lo <> p").select(
+            F.col("lo").alias("hi"), F.col("p").alias("lo"), F.lit(True).alias("moved"))
+        edges = written(jumped.unionAll(others).groupBy("hi", "lo").agg(F.max("moved").alias("moved")), "edges")
+        if not edges.agg(F.max("moved")).first()[0]:
             break
     else:
         raise RuntimeError(f"components did not settle in {MOST_ROUNDS} rounds")

@@ -6,8 +6,11 @@ their first ``COORDINATES - MATCHES + 1`` pairs, so only those are joined (prefi
 that any other set holds are never posted (skip). Two sets of similarity 0.8 share fewer than ``MATCHES`` pairs
 with probability 4e-6. What is left is confirmed on the full sets of 64-bit shingle hashes.
 
-Links inside a large group are not enumerated: in each posting list all sets are first compared with one of
-them, and then only sets whose components still differ are compared with each other.
+Links inside a large group are not enumerated. In each posting list all sets are compared with one of them, the
+centre, which shares most with the others; this is repeated ``ROUNDS`` times with other centres in the lists whose sets are not of one component yet.
+Sets that still are in lists of several components are joined by the same prefix rule once more, now on their full
+sets: a set of n shingles is posted under the rarest n - 0.8 n + 1 of them, and those no other such set has come first.
+Only sets of different components are compared there, where sizes and places in the order allow it, and the sets of a list's largest component not with each other.
 
 Defined cases: NULL and empty texts, and texts of white space only, have an empty set and no links; a text of
 fewer words than a shingle has one shingle, all its words; copies and repeated rows are one set and one
@@ -33,6 +36,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 COORDINATES = 64
 MATCHES = 36
+ROUNDS = 2
 
 # Text bytes that one step inside a task turns into arrays.
 CHUNK_BYTES = 4 << 20
@@ -132,18 +136,23 @@ def _confirmed(percent: int):
 
 
 def _postings(sets: DataFrame) -> DataFrame:
-    """(token, node, n): each set under the tokens of its prefix, of those that several sets hold."""
+    """(token, node, n, weight): each set under the tokens of its prefix, of those that several sets hold.
+
+    ``weight`` says how much of its signature a set shares with how many others.
+    """
     tokens = sets.select("node", "n", F.posexplode("signature").alias("i", "v")).select(
         "node", "n", (F.col("i").cast("long") * 2**32 + F.col("v")).alias("token"))
     # Grouped tables are written before they are joined, so that adaptive execution can split a hot key's rows.
     shared = written(tokens.groupBy("token").agg(F.count("*").alias("held")).where("held > 1"), "shared")
     prefix = COORDINATES - MATCHES + 1
     listed = tokens.join(shared, "token").groupBy("node").agg(
-        F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("held", "token"))).alias("tokens"))
+        F.max("n").alias("n"), F.sum("held").alias("weight"),
+        F.array_sort(F.collect_list(F.struct("held", "token"))).alias("tokens"))
     # Tokens no other set holds come first in the order and take their places of the prefix.
     free = prefix - (COORDINATES - F.size("tokens"))
-    return listed.where(free > 0).select("node", "n", F.explode(F.slice("tokens", F.lit(1), free)).alias("t")).select(
-        "t.token", "node", "n")
+    return listed.where(free > 0).select(
+        "node", "n", "weight", F.explode(F.slice("tokens", F.lit(1), free)).alias("t")).select(
+        "t.token", "node", "n", "weight")
 
 
 def _matching(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -153,15 +162,57 @@ def _matching(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(same >= MATCHES).select("a", "b")
 
 
-def _links(pairs: DataFrame, nodes: DataFrame, size: int, percent: int, label: str) -> DataFrame:
-    """The pairs that the full sets confirm."""
-    pairs = written(pairs, f"{label}-pairs")
-    wanted = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
-    full = written(nodes.join(wanted, "node", "left_semi").select("node", "whole").mapInArrow(
-        _sets(size), "node long, shingles array<long>"), f"{label}-sets")
+def _links(pairs: DataFrame, sets: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """The candidate pairs (a, b) that signatures and full sets confirm."""
     a, b = (full.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
-    both = pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb")
-    return written(both.mapInArrow(_confirmed(percent), "a long, b long"), f"{label}-links")
+    both = written(_matching(pairs.distinct(), sets), "pairs").join(a, "a").join(b, "b").select("a", "b", "sa", "sb")
+    return written(both.mapInArrow(_confirmed(percent), "a long, b long"), "links")
+
+
+def _all_links(posted: DataFrame, sets: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Links that connect all sets that chains of similar sets connect."""
+    links, apart = None, posted.withColumn("root", F.col("node"))
+    for turn in range(ROUNDS):
+        # The first centre is the set nearest to all others, as the original of edited copies is; later ones are any.
+        by = F.struct((-F.col("weight") if turn == 0 else F.xxhash64("node", "token", F.lit(turn))).alias("by"), "node", "root")
+        centres = written(apart.groupBy("token").agg(F.min(by).alias("c")).select(
+            "token", F.col("c.node").alias("a"), F.col("c.root").alias("ra")), "centres")
+        pairs = apart.join(centres, "token").where("ra <> root").select("a", F.col("node").alias("b"))
+        found = _links(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), sets, full, percent)
+        links = found if links is None else links.unionAll(found)
+        labelled = written(posted.join(written(components(links), "roots"), "node", "left").select(
+            "token", "node", "n", "weight", F.coalesce("root", "node").alias("root")), "labelled")
+        several = written(labelled.groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most"))
+                          .where("least < most").select("token"), "several")
+        apart = written(labelled.join(several, "token"), "apart")
+    return links.unionAll(_links(_rest(apart, full, percent), sets, full, percent))
+
+
+def _rest(apart: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of sets of different components that share a shingle of their prefixes."""
+    nodes = written(apart.select("node", "root").distinct(), "apart-nodes")
+    each = full.join(nodes, "node").select("node", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("token"))
+    shared = written(each.groupBy("token").agg(F.count("*").alias("held")).where("held > 1"), "shared-shingles")
+    listed = each.join(shared, "token").groupBy("node").agg(
+        F.max("n").alias("n"), F.max("root").alias("root"),
+        F.array_sort(F.collect_list(F.struct("held", "token"))).alias("tokens"))
+    # Shingles no other set holds come first in the order; ``at`` counts them too.
+    alone = F.col("n") - F.size("tokens")
+    free = F.col("n") - F.expr(f"(n * {percent} + 99) div 100").cast("int") + 1 - alone
+    posted = written(listed.where(free > 0).select(
+        "node", "root", "n", alone.alias("alone"), F.posexplode(F.slice("tokens", F.lit(1), free)).alias("i", "t")).select(
+        "t.token", "node", "root", "n", F.expr("alone + i").alias("at")), "rest-postings")
+    largest = written(posted.groupBy("token", "root").count().groupBy("token").agg(
+        F.max(F.struct("count", "root")).alias("m"), F.count("*").alias("roots")).where("roots > 1").select(
+        "token", F.col("m.root").alias("major")), "major")
+    x = posted.join(largest, "token").where("root <> major").select(
+        "token", *[F.col(c).alias(f"{c}_x") for c in ("node", "root", "n", "at")])
+    y = posted.select("token", *[F.col(c).alias(f"{c}_y") for c in ("node", "root", "n", "at")])
+    # Sets of these sizes must share ``least`` shingles, so the first shared one cannot stand later than this.
+    least = f"(({percent} * (n_x + n_y) + {99 + percent}) div {100 + percent})"
+    met = written(x, "minor").join(y, "token").where("root_x <> root_y").where(
+        f"n_x * 100 >= n_y * {percent} AND n_y * 100 >= n_x * {percent} AND at_x <= n_x - {least} AND at_y <= n_y - {least}")
+    return met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
 
 
 def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
@@ -170,7 +221,10 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", shing
     percent = round(similarity * 100)
     whole, node, n, k1, k2, signature = names = fresh(df, "whole", "node", "n", "k1", "k2", "signature")
     columns = [F.col(f"`{c}`") for c in df.columns]
-    with_whole = df.select(*columns, text_of(text).alias(whole))
+    # The text is stored once; as a string it is used as it is, NULL included.
+    is_text = dict(df.dtypes)[text] == "string"
+    whole = text if is_text else whole
+    with_whole = df.select(*columns) if is_text else df.select(*columns, text_of(text).alias(whole))
     schema = T.StructType([*with_whole.schema.fields, T.StructField(n, T.LongType()), T.StructField(k1, T.LongType()),
                            T.StructField(k2, T.LongType()), T.StructField(signature, T.ArrayType(T.IntegerType()))])
     described = with_whole.mapInArrow(_described(shingle, whole, names[2:]), schema)
@@ -181,25 +235,13 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", shing
     first = base.where(F.col(n) > 0).groupBy(F.col(k1).alias("k1"), F.col(k2).alias("k2")).agg(
         F.min(F.struct(known.alias("first"), F.col(n).alias("n"), F.col(signature).alias("signature"))).alias("m"))
     sets = written(first.select("k1", "k2", "m.first", F.col("m.first.node").alias("node"), "m.n", "m.signature"), "sets")
-    texts = base.select(F.col(node).alias("node"), F.col(whole).alias("whole"))
+    texts = base.select(F.col(node).alias("node"), F.col(f"`{whole}`").alias("whole"))
 
     posted = written(_postings(sets), "postings")
-    centres = written(posted.groupBy("token").agg(F.min("node").alias("a")), "centres")
-    pairs = posted.join(centres, "token").where("a < node").select("a", F.col("node").alias("b")).distinct()
-    links = _links(_matching(pairs, sets), texts, shingle, percent, "star")
-
-    # What the comparison with one member leaves apart is compared pair by pair.
-    label = posted.join(components(links), "node", "left").select(
-        "token", "node", "n", F.coalesce("root", "node").alias("root"))
-    mixed = written(label, "labelled")
-    several = mixed.groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most")
-    left = written(mixed.join(written(several, "several").select("token"), "token"), "apart")
-    x = left.select("token", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"))
-    y = left.select("token", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"))
-    size_bound = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
-    rest = x.join(y, "token").where("a < b AND ra <> rb").where(size_bound).select("a", "b").distinct()
-    rest = rest.join(pairs, ["a", "b"], "left_anti")
-    links = links.unionAll(_links(_matching(rest, sets), texts, shingle, percent, "rest"))
+    # Full sets of all texts that are compared with any other.
+    full = written(texts.join(posted.select("node").distinct(), "node", "left_semi").select("node", "whole").mapInArrow(
+        _sets(shingle), "node long, shingles array<long>"), "shingles")
+    links = _all_links(posted, sets, full, percent)
 
     rooted = sets.join(components(links), "node", "left").select(
         "k1", "k2", "first", F.coalesce("root", "node").alias("root"))

@@ -118,7 +118,8 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text_of(text).alias("whole"))
     windows, items = benchmark_windows(benchmark, window)
     tokens = _tokens(windows)
-    sizes = [r[0] for r in tokens.select(F.least("size", F.lit(SHINGLE)).alias("n")).distinct().orderBy("n").collect()]
+    found = tokens.select(F.least("size", F.lit(SHINGLE)).alias("n")).distinct().orderBy("n").collect()
+    sizes = [r.n for r in found] or [SHINGLE]
     small = tokens.count() <= broadcast_shingles
     base, seen = _sightings(packed, tokens, sizes, small, window)
 

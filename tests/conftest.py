@@ -23,7 +23,7 @@ def spark():
 
 @pytest.fixture
 def no_broadcast(spark):
-    """Make every lookup too large to broadcast, so that the salted joins run."""
+    """Make every lookup too large to broadcast."""
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield

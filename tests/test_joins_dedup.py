@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tillflow.operators import dedup
-from tillflow.operators.joins import fan_out_left_join, hot_keys, lookup_join, salted_join
+from tillflow.operators.joins import fan_out_left_join, hot_keys, salted_join
 from tillflow.operators.upsert import upsert
 
 
@@ -30,17 +30,16 @@ def test_hot_keys_are_few(spark):
 def test_salted_join_equals_plain_join(spark, no_broadcast, how):
     facts, small = skewed(spark), lookup(spark)
     plain = facts.join(small, ["k"], how)
-    salted = salted_join(facts, small, ["k"], how, share=0.01, salts=8)
+    salted = salted_join(facts, small, ["k"], how, hot=hot_keys(facts, ["k"], 0.01), salts=8)
     assert salted.columns == plain.columns
     assert rows(salted) == rows(plain)
-    assert rows(lookup_join(facts, small, ["k"], how)) == rows(plain)
 
 
 def test_salted_join_splits_the_hot_key(spark, no_broadcast):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         facts = skewed(spark)
-        joined = salted_join(facts, lookup(spark), ["k"], share=0.01, salts=64)
+        joined = salted_join(facts, lookup(spark), ["k"], hot=hot_keys(facts, ["k"], 0.01), salts=64)
         sizes = [r["count"] for r in joined.where("k = 0").groupBy(F.spark_partition_id()).count().collect()]
         nulls = [r["count"] for r in joined.where("k IS NULL").groupBy(F.spark_partition_id()).count().collect()]
     finally:
@@ -50,17 +49,12 @@ def test_salted_join_splits_the_hot_key(spark, no_broadcast):
     assert len(nulls) >= 4
 
 
-def test_small_lookup_needs_no_hint(spark):
-    plan = lookup_join(skewed(spark), lookup(spark), ["k"])._jdf.queryExecution().toString()
-    assert "BroadcastHashJoin" in plan and "_salt" not in plan
-
-
 def test_fan_out_left_join(spark, no_broadcast):
     unique = spark.range(0, 50).select(F.when(F.col("id") < 49, F.col("id")).alias("k"), (F.col("id") * 10).alias("a"))
     # Key 7 holds most rows on the right, keys above 30 have none.
     repeated = spark.range(0, 2000, 1, 8).select(
         F.when(F.col("id") % 4 != 0, 7).otherwise(F.col("id") % 30).alias("k"), (F.col("id") % 11).alias("b"))
-    got = fan_out_left_join(unique, repeated, ["k"], share=0.05, salts=16)
+    got = fan_out_left_join(unique, repeated, ["k"], hot=hot_keys(repeated, ["k"], 0.05), salts=16)
     want = unique.join(repeated, "k", "left")
     assert got.columns == want.columns and rows(got) == rows(want)
 

@@ -8,6 +8,7 @@ import __spark_entry__ as contract
 from tillflow.operators import clean as cleaning
 from tillflow.operators.parse import parse
 from tillflow.plans import star
+from tillflow.plans.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -18,7 +19,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in contract.queries() if not n.startswith("stream_")])
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith("stream_")])
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(contract.queries()[name](spark, SF_DIR))
     for word in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
@@ -60,3 +61,14 @@ def test_feature_sides_meet_without_another_shuffle(spark, no_broadcast):
 
 def test_top_products_keeps_ten_per_task(spark):
     assert "TakeOrderedAndProject" in plan(contract.queries()["top10_products"](spark, SF_DIR))
+
+
+@pytest.mark.parametrize("name", ["feature_vegetarian", "features_windowed", "features_as_coded", "conditional_distinct",
+                                  "revenue_by_store", "revenue_by_region", "items_enriched"])
+def test_facts_are_scanned_once(spark, no_broadcast, name):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan(contract.queries()[name](spark, SF_DIR))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert text.count("lineitem.parquet") == 1 and text.count("orders.parquet") <= 2

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.functions.clock import AsOf, as_of_like
-from tillflow.operators.joins import lookup_join
 
 
 def _by_store(purchases: DataFrame) -> DataFrame:
@@ -17,12 +16,12 @@ def _by_store(purchases: DataFrame) -> DataFrame:
 
 def revenue_by_store(purchases: DataFrame, stores: DataFrame) -> DataFrame:
     """Purchases and revenue per store, with the store's name; unknown stores keep a NULL name."""
-    return lookup_join(_by_store(purchases), stores.select("store_id", "store_name"), ["store_id"])
+    return _by_store(purchases).join(stores.select("store_id", "store_name"), "store_id", "left")
 
 
 def revenue_by_region(purchases: DataFrame, stores: DataFrame, region: str = "city") -> DataFrame:
     """Purchases, revenue and active stores per region column of the store table."""
-    per_store = lookup_join(_by_store(purchases), stores.select("store_id", region), ["store_id"])
+    per_store = _by_store(purchases).join(stores.select("store_id", region), "store_id", "left")
     return per_store.groupBy(region).agg(
         F.sum("purchases").alias("purchases"),
         F.sum("revenue").alias("revenue"),

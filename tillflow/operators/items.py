@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.operators.joins import lookup_join
 from tillflow.schemas import ITEM_ROW
 
 _CARRIED = ("purchase_id", "customer_id", "store_id", "purchase_datetime", "total_amount")
@@ -36,4 +35,4 @@ def explode_items(purchases: DataFrame, *, keep_empty: bool = False,
 
 def enrich_items(items: DataFrame, products: DataFrame, *, columns: Sequence[str] = ("category",)) -> DataFrame:
     """Items with the chosen product columns; an unknown product leaves them NULL."""
-    return lookup_join(items, products.select("product_id", *columns), ["product_id"])
+    return items.join(products.select("product_id", *columns), "product_id", "left")

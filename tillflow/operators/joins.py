@@ -1,47 +1,38 @@
-"""Joins of a large table with a lookup table that hold when one key carries a third of the rows.
+"""Joins of tables in which one key carries a third of the rows, for the cases adaptive execution cannot split.
 
-A small lookup is left to Spark's own broadcast threshold, which checks its size. A larger one is
-joined with hot keys split: rows of a hot key are spread over ``salts`` reducers, and the few
-lookup rows of that key are repeated once per salt.
+Operators use plain joins: Spark broadcasts a side it has measured to be small and splits skewed partitions of a
+sort-merge join. Two cases are left, both on request and with a list of hot keys made once: a side that Spark may not
+split (the right one of a left join), and a join above an aggregate.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillflow.session import shared_dir
+
 _HOT, _SALT, _COUNT, _MATCHED = "_hot", "_salt", "_n", "_matched"
 
 HOT_SHARE = 1 / 1000  # a key is hot above this share of the rows, so there are at most 1000
 SALTS = 256
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate of the plan, the number its broadcast rule compares."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    units = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    text = text.strip().lower()
-    number = text.rstrip("bkmg")
-    unit = text[len(number):][:1] or "b"
-    return int(number) * units[unit]
-
-
 def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
     """Keys held by more than ``share`` of the rows: fewer than 1/``share`` of them by definition.
 
-    Counted exactly. The list is worked out once per side of a join, and both must come out equal;
-    a sample or a sketch could differ at its edge. Only the key column is scanned.
+    Counted exactly, in one pass over the key columns of ``df``, which should be a base table and not a joined
+    frame. The counts are stored in the shared folder, so that list and total agree and nothing is counted again.
     """
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias(_COUNT))
-    total = counts.agg(F.sum(_COUNT)).scalar()
-    return counts.where(F.col(_COUNT) > F.lit(share) * total).select(*on)
+    path = f"{shared_dir(df.sparkSession)}/hot-{uuid.uuid4().hex}"
+    df.groupBy(*on).agg(F.count(F.lit(1)).alias(_COUNT)).write.parquet(path)
+    counts = df.sparkSession.read.parquet(path)
+    total = counts.agg(F.sum(_COUNT)).first()[0] or 0
+    return counts.where(F.col(_COUNT) > share * total).select(*on)
 
 
 def _with_salt(big: DataFrame, hot: DataFrame, on: Sequence[str], salts: int) -> DataFrame:
@@ -63,44 +54,34 @@ def _for_every_salt(small: DataFrame, hot: DataFrame, on: Sequence[str], salts:
     return small.join(hot, list(on), "left").withColumn(_SALT, F.explode(every))
 
 
-def _hot_side(df: DataFrame, on: Sequence[str], share: float) -> DataFrame:
-    # The hint is safe: hot_keys gives fewer than 1/share rows whatever the size of df.
-    return F.broadcast(hot_keys(df, on, share).withColumn(_HOT, F.lit(True)))
+def _marked(hot: DataFrame) -> DataFrame:
+    # The hint is safe: hot_keys gives fewer than 1/share rows whatever the size of its table.
+    return F.broadcast(hot.withColumn(_HOT, F.lit(True)))
 
 
-def salted_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left", *,
-                share: float = HOT_SHARE, salts: int = SALTS) -> DataFrame:
+def salted_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left", *, hot: DataFrame,
+                salts: int = SALTS) -> DataFrame:
     """Equi-join whose ``facts`` rows of a hot key go to ``salts`` reducers instead of one.
 
-    ``how``: left, inner, left_semi or left_anti. Any lookup row of a key is found whatever the
-    salt, so the result does not depend on it.
+    ``hot`` is the list of :func:`hot_keys`. ``how``: left, inner, left_semi or left_anti. Any lookup row of a key
+    is found whatever the salt, so the result does not depend on it.
     """
-    hot = _hot_side(facts, on, share)
-    left = _with_salt(facts, hot, on, salts).drop(_HOT)
-    right = _for_every_salt(lookup, hot, on, salts).drop(_HOT)
+    marked = _marked(hot)
+    left = _with_salt(facts, marked, on, salts).drop(_HOT)
+    right = _for_every_salt(lookup, marked, on, salts).drop(_HOT)
     return left.join(right, [*on, _SALT], how).drop(_SALT)
 
 
-def lookup_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left", *,
-                share: float = HOT_SHARE, salts: int = SALTS) -> DataFrame:
-    """Join a large table with a lookup table, choosing by the lookup's checked size."""
-    if facts.isStreaming or estimated_bytes(lookup) <= broadcast_limit(facts.sparkSession):
-        return facts.join(lookup, list(on), how)
-    return salted_join(facts, lookup, on, how, share=share, salts=salts)
-
-
-def fan_out_left_join(unique: DataFrame, repeated: DataFrame, on: Sequence[str], *,
-                      share: float = HOT_SHARE, salts: int = SALTS) -> DataFrame:
-    """``unique LEFT JOIN repeated`` where the *right* side may hold a hot key.
+def fan_out_left_join(unique: DataFrame, repeated: DataFrame, on: Sequence[str], *, hot: DataFrame,
+                      salts: int = SALTS) -> DataFrame:
+    """``unique LEFT JOIN repeated`` where the *right* side holds hot keys, listed in ``hot``.
 
     Spark cannot split the right side of a left join, so here its hot keys are salted and the left
     rows of those keys repeated. A hot key has matches by definition, so where one of the repeated
     left rows meets none, that row is spurious and is removed.
     """
-    if estimated_bytes(repeated) <= broadcast_limit(unique.sparkSession):
-        return unique.join(repeated, list(on), "left")
-    hot = _hot_side(repeated, on, share)
-    left = _for_every_salt(unique, hot, on, salts)
-    right = _with_salt(repeated, hot, on, salts).drop(_HOT).withColumn(_MATCHED, F.lit(True))
+    marked = _marked(hot)
+    left = _for_every_salt(unique, marked, on, salts)
+    right = _with_salt(repeated, marked, on, salts).drop(_HOT).withColumn(_MATCHED, F.lit(True))
     joined = left.join(right, [*on, _SALT], "left")
     return joined.where(F.col(_HOT).isNull() | F.col(_MATCHED).isNotNull()).drop(_HOT, _SALT, _MATCHED)

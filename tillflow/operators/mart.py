@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from tillflow.functions import lenient
 from tillflow.functions.clock import AsOf, as_of_like, days_before, start_of_day
 from tillflow.operators.dedup import keep_first, keep_latest
-from tillflow.operators.joins import fan_out_left_join, lookup_join
+from tillflow.operators.joins import fan_out_left_join
 from tillflow.schemas import MART_COLUMNS
 
 NEW_CUSTOMER_DAYS = 30
@@ -129,11 +129,16 @@ def customer_mart(purchases: DataFrame, customers: DataFrame, *, as_of: AsOf = N
     return _finish(totals, joined, registered_lately(known, as_of))
 
 
-def customer_mart_sql(purchases: DataFrame, customers: DataFrame, *, as_of: AsOf = None) -> DataFrame:
-    """SQL definition; new means registered fewer than 30 calendar days before ``as_of``."""
+def customer_mart_sql(purchases: DataFrame, customers: DataFrame, *, as_of: AsOf = None,
+                      hot: DataFrame | None = None) -> DataFrame:
+    """SQL definition; new means registered fewer than 30 calendar days before ``as_of``.
+
+    ``hot``: customers repeated so often that one task could not hold their rows, see ``joins.hot_keys``.
+    """
     totals = customer_totals(purchases)
     known = customers.select("customer_id", "registration_date", "is_loyalty_member")
-    joined = fan_out_left_join(totals, known, ["customer_id"])
+    joined = (totals.join(known, "customer_id", "left") if hot is None
+              else fan_out_left_join(totals, known, ["customer_id"], hot=hot))
     today = start_of_day(as_of_like(known, "registration_date", as_of))
     is_new = F.datediff(today, F.to_date("registration_date")) < NEW_CUSTOMER_DAYS
     return _finish(totals, joined, is_new)
@@ -144,7 +149,7 @@ def affected_customers(changed_purchases: DataFrame, changed_customers: DataFram
     purchases it sends again. ``purchases`` is the history including the batch, repeats and all.
     """
     resent = changed_purchases.select("purchase_id").distinct()
-    former = lookup_join(purchases.select("purchase_id", "customer_id"), resent, ["purchase_id"], "left_semi")
+    former = purchases.select("purchase_id", "customer_id").join(resent, "purchase_id", "left_semi")
     return (
         changed_purchases.select("customer_id")
         .unionByName(changed_customers.select("customer_id"))
@@ -161,9 +166,9 @@ def mart_delta(affected: DataFrame, purchases: DataFrame, customers: DataFrame,
     A purchase that ever belonged to one of them is judged by its last delivery, whoever owns it
     now. A customer left without purchases comes back with ``purchase_count`` NULL: remove the row.
     """
-    touched = lookup_join(purchases.select("purchase_id", "customer_id"), affected, ["customer_id"], "left_semi")
-    deliveries = lookup_join(purchases, touched.select("purchase_id").distinct(), ["purchase_id"], "left_semi")
+    touched = purchases.select("purchase_id", "customer_id").join(affected, "customer_id", "left_semi")
+    deliveries = purchases.join(touched.select("purchase_id"), "purchase_id", "left_semi")
     last = keep_latest(deliveries, ["purchase_id"], latest_by)
-    theirs = lookup_join(last, affected, ["customer_id"], "left_semi")
-    who = keep_latest(lookup_join(customers, affected, ["customer_id"], "left_semi"), ["customer_id"], latest_by)
+    theirs = last.join(affected, "customer_id", "left_semi")
+    who = keep_latest(customers.join(affected, "customer_id", "left_semi"), ["customer_id"], latest_by)
     return affected.join(customer_mart(theirs, who, as_of=as_of), "customer_id", "left")

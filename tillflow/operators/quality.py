@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.operators.joins import lookup_join
 
 DUPLICATE_LIMIT = 0.5
 
@@ -50,7 +49,7 @@ def volume_totals(tables: dict[str, DataFrame]) -> DataFrame:
 
 def orphans(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """Rows whose ``key`` is not in ``known`` (NULL included)."""
-    return lookup_join(df, known.select(key).distinct(), [key], "left_anti")
+    return df.join(known.select(key), key, "left_anti")
 
 
 def orphan_purchases(purchases: DataFrame, references: dict[str, DataFrame]) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.operators.dedup import keep_latest
-from tillflow.operators.joins import lookup_join
 
 
 def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str] = (), order_by: Sequence[str] = ()) -> DataFrame:
@@ -23,5 +22,5 @@ def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str] = (), order_
     for k in keys:
         has_key = has_key & F.col(k).isNotNull()
     latest = keep_latest(updates.where(has_key), keys, order_by)
-    kept = lookup_join(base, latest.select(*keys), keys, "left_anti")
+    kept = base.join(latest.select(*keys), list(keys), "left_anti")
     return kept.unionByName(latest).unionByName(updates.where(~has_key))

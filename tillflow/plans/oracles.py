@@ -28,7 +28,7 @@ _REPEATED = f"""
 SELECT customer_id, registration_date + to_days(CAST(d * 5 AS INTEGER)) AS registration_date,
        CASE WHEN d = 1 THEN 1 - is_loyalty_member ELSE is_loyalty_member END AS is_loyalty_member
 FROM ({_CUSTOMERS}), (VALUES (0), (1)) v(d)
-WHERE customer_id % 9 <> 0 AND (d = 0 OR customer_id % 20 = 0)"""
+WHERE d = 0 OR customer_id % 20 = 0"""
 
 _CATEGORY = """CASE lower(p_type) WHEN 'economy' THEN 'bakery' WHEN 'promo' THEN 'meat' WHEN 'medium' THEN 'milk'
      WHEN 'small' THEN 'fruits' WHEN 'large' THEN 'veggies' ELSE lower(p_type) END"""
@@ -255,7 +255,7 @@ SELECT purchase_id, customer_id, store_id, total_amount, lower(payment_method) A
        purchase_datetime FROM ({_last(_PURCHASE_DOCS, _GOOD_PURCHASES)})"""
     customers = f"""
 SELECT customer_id, registration_date, is_loyalty_member FROM ({_last(_CUSTOMER_DOCS, _GOOD_CUSTOMERS)})"""
-    return f"SELECT * EXCLUDE (total_spent, avg_basket) FROM ({_mart(_totals(purchases, 'count(purchase_id)', 'total_amount'), customers, _ELAPSED)})"
+    return _mart(_totals(purchases, 'count(purchase_id)', 'total_amount'), customers, _ELAPSED)
 
 
 def oracle_sql() -> dict[str, str]:
@@ -298,19 +298,19 @@ SELECT customer_id, {_flag("category = 'meat'", "vegetarian_profile", negate=Tru
 SELECT p.*, {_bit(_ELAPSED, "new_customer")}, coalesce(is_loyalty_member, 0) AS is_loyalty_member
 FROM ({_purchase_features('min')}) p LEFT JOIN ({_CUSTOMERS}) c ON p.customer_id = c.customer_id""",
         "items_enriched": f"""
-SELECT l_partkey AS product_id, l_orderkey AS purchase_id, l_suppkey AS store_id, l_quantity AS quantity,
+SELECT CASE WHEN l_partkey % 17 = 0 THEN -l_partkey - 1 ELSE l_partkey END AS product_id, l_orderkey AS purchase_id, l_suppkey AS store_id, l_quantity AS quantity,
        l_extendedprice AS total_price, CASE WHEN p_partkey IS NOT NULL THEN {_CATEGORY} END AS category,
        p_retailprice AS price
-FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_partkey % 17 <> 0) ON l_partkey = p_partkey""",
+FROM lineitem LEFT JOIN part ON l_partkey = p_partkey AND l_partkey % 17 <> 0""",
         "purchase_items_explode": f"""
 SELECT 'ord-' || l_orderkey || '-' || l_linenumber AS purchase_id, 'store-' || l_suppkey AS store_id,
        'prd-' || l_partkey AS product_id, 'Part ' || l_partkey AS product_name, l_returnflag AS item_category,
        CAST(quantity AS BIGINT) AS quantity, 'PCS' AS unit, price AS price_per_unit, price * quantity AS total_price
 FROM ({pieces})""",
         "orphan_purchases": f"""
-SELECT purchase_id, 'customer_id' AS missing FROM ({_PURCHASES}) WHERE customer_id NOT IN (SELECT customer_id FROM ({_REPEATED}))
-UNION ALL SELECT l_orderkey, 'product_id' FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 17 <> 0)
-UNION ALL SELECT l_orderkey, 'store_id' FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 7 <> 0)""",
+SELECT purchase_id, 'customer_id' AS missing FROM ({_PURCHASES}) WHERE customer_id % 9 = 0 OR customer_id NOT IN (SELECT c_custkey FROM customer)
+UNION ALL SELECT l_orderkey, 'product_id' FROM lineitem WHERE l_partkey % 17 = 0 OR l_partkey NOT IN (SELECT p_partkey FROM part)
+UNION ALL SELECT l_orderkey, 'store_id' FROM lineitem WHERE l_suppkey % 7 = 0 OR l_suppkey NOT IN (SELECT s_suppkey FROM supplier)""",
         "basket_reconcile": """
 SELECT o_orderkey AS purchase_id, o_totalprice AS total_amount, round(coalesce(s, 0), 2) AS items_total,
        coalesce(n, 0) AS item_count, round(o_totalprice - coalesce(s, 0), 2) AS difference,
@@ -339,7 +339,8 @@ FROM orders GROUP BY o_custkey""",
 SELECT 'purchases' AS table_name, count(*) AS row_count FROM orders UNION ALL SELECT 'stores', count(*) FROM supplier""",
         "duplicate_ratio_alert": " UNION ALL ".join([
             _duplicates("customers", "customer", "c_custkey"), _duplicates("products", "part", "p_partkey"),
-            _duplicates("stores", "supplier", "s_suppkey"), _duplicates("purchases", "lineitem", "l_orderkey"),
+            _duplicates("stores", "supplier", "s_suppkey"), _duplicates("purchases", "orders", "o_orderkey"),
+            _duplicates("lines", "lineitem", "l_orderkey"),
             _duplicates("items", "lineitem", "l_orderkey, l_linenumber")]),
         "distinct_rows": "SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag FROM lineitem",
         "dedup_by_key": _lineitem_by_key("l_shipdate ASC NULLS LAST"),
@@ -360,7 +361,7 @@ UNION ALL SELECT * FROM sent WHERE product_id IS NULL OR seq = 2""",
 SELECT source AS topic, raw_json AS value, ts AS sent_at FROM ({_EVENTS}) ORDER BY t, raw_json LIMIT 5""",
         "publish_json_roundtrip": f"""
 SELECT 'products' AS topic, product_id AS id, name, calories, price, CAST(p_size AS BIGINT) * 2500 AS expiry_days,
-       is_organic, manufacturer_inn AS inn FROM ({_PRODUCT_DOCS}) JOIN part ON k = p_partkey WHERE d = 0""",
+       is_organic, manufacturer_inn AS inn FROM ({_PRODUCT_DOCS}) JOIN part ON k = p_partkey""",
         "raw_landing": f"SELECT ts, source, raw_json FROM ({_EVENTS})",
         "quarantine_split": f"""
 SELECT ts, source, raw_json, CASE WHEN source = 'error' THEN 'unknown topic' ELSE 'unreadable document' END AS problem
@@ -374,7 +375,8 @@ SELECT * EXCLUDE (k, d) REPLACE (strftime(last_inventory_date, '%Y-%m-%d') AS la
         "parse_purchases": f"""
 SELECT * EXCLUDE (k, d) REPLACE ({_time('purchase_datetime')} AS purchase_datetime) FROM ({_PURCHASE_DOCS})""",
         "clean_customers": f"""
-SELECT customer_id, lower(first_name) AS first_name, lower(last_name) AS last_name, lower(gender) AS gender,
+SELECT customer_id, lower(first_name) AS first_name, lower(last_name) AS last_name,
+       {_hmac("'c' || k || '@example.com'")} AS email_masked, {_hmac(_normal('k'))} AS phone_masked, lower(gender) AS gender,
        {_CUSTOMER_TAIL} FROM ({_last(_CUSTOMER_DOCS, _GOOD_CUSTOMERS)})""",
         "clean_products": f"""
 SELECT product_id, lower(name) AS name, lower(category) AS category, lower(description) AS description, calories,
@@ -405,12 +407,14 @@ SELECT c_custkey AS customer_id, {_phone('c_custkey')} AS phone, {_normal('c_cus
         "mask_hmac": f"SELECT doc_id, {_hmac('lower(trim(text))')} AS text_masked FROM documents",
         "mask_customers": f"""
 SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS loyalty_card_number,
-       {_hmac("'c' || c_custkey || '@example.com'")} AS email_masked, {_hmac(_normal('c_custkey'))} AS phone_masked FROM customer""",
+       {_hmac("'c' || c_custkey || '@example.com'")} AS email_masked, {_hmac(_normal('c_custkey'))} AS phone_masked
+FROM customer, {_D} WHERE d = 0 OR c_custkey % 10 = 0""",
         "mask_nested": f"""
 SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS card, c_name AS first_name,
-       {_hmac("'c' || c_custkey || '@example.com'")} AS email_masked, {_hmac(_normal('c_custkey'))} AS phone_masked FROM customer""",
+       {_hmac("'c' || c_custkey || '@example.com'")} AS email_masked, {_hmac(_normal('c_custkey'))} AS phone_masked
+FROM customer, {_D} WHERE d = 0 OR c_custkey % 10 = 0""",
         "stream_ingest_clean": f"""
-SELECT purchase_id, customer_id, store_id, lower(payment_method) AS payment_method, is_delivery,
+SELECT purchase_id, customer_id, store_id, total_amount, lower(payment_method) AS payment_method, is_delivery,
        {_time('purchase_datetime')} AS purchase_datetime, {_DELIVERY}
 FROM ({_last(_PURCHASE_DOCS, _GOOD_PURCHASES)})""",
         "stream_mart_refresh": _stream_mart(),

@@ -21,9 +21,9 @@ from tillflow.operators.items import enrich_items, explode_items
 from tillflow.operators.parse import parse, quarantine
 from tillflow.operators.upsert import upsert
 from tillflow.plans import star
-from tillflow.schemas import DOCUMENTS, ENTITIES
+from tillflow.schemas import DOCUMENTS, ENTITIES, RAW
 from tillflow.session import shared_dir
-from tillflow.sinks.tables import refresh_folder, stamped
+from tillflow.sinks.tables import read_latest, refresh_folder, stamped, write_batch
 from tillflow.sinks.topics import publish_files, to_messages
 from tillflow.sources.topics import peek, subscribe_files
 from tillflow.streaming.dedup import drop_redelivered
@@ -89,8 +89,11 @@ def customer_mart_sql(spark, sf_dir):
 
 def customer_mart_full_refresh(spark, sf_dir):
     built = mart.customer_mart(star.purchases(spark, sf_dir), star.customers(spark, sf_dir), as_of=star.AS_OF)
-    path = refresh_folder(stamped(built), work_dir(spark, "mart"), "1", sort_by=["customer_id"])
-    return _mart(spark.read.parquet(path).drop("ins_ts"))
+    root = work_dir(spark, "mart")
+    # A first version of other rows is replaced by the second; readers only see the one published last.
+    refresh_folder(stamped(built.withColumn("purchase_count", F.col("purchase_count") + 1)), root, "1")
+    refresh_folder(stamped(built), root, "2", sort_by=["customer_id"])
+    return _mart(read_latest(spark, root).drop("ins_ts"))
 
 
 def conditional_counts(spark, sf_dir):
@@ -151,8 +154,9 @@ def feature_profile(spark, sf_dir):
 
 
 def items_enriched(spark, sf_dir):
-    known = star.products(spark, sf_dir).where(F.col("product_id") % 17 != 0)
-    return enrich_items(star.items(spark, sf_dir), known, columns=("category", "price"))
+    items = star.items(spark, sf_dir)
+    sold = items.withColumn("product_id", star.lost(F.col("product_id"), 17))
+    return enrich_items(sold, star.products(spark, sf_dir), columns=("category", "price"))
 
 
 def purchase_items_explode(spark, sf_dir):
@@ -164,11 +168,11 @@ def purchase_items_explode(spark, sf_dir):
 def orphan_purchases(spark, sf_dir):
     items = star.items(spark, sf_dir)
     buyers = quality.orphan_purchases(
-        star.purchases(spark, sf_dir), {"customer_id": star.repeated_customers(spark, sf_dir)})
-    lines = quality.orphan_purchases(items, {
-        "product_id": star.products(spark, sf_dir).where(F.col("product_id") % 17 != 0),
-        "store_id": star.stores(spark, sf_dir).where(F.col("store_id") % 7 != 0),
-    })
+        star.purchases(spark, sf_dir).withColumn("customer_id", star.lost(F.col("customer_id"), 9)),
+        {"customer_id": star.repeated_customers(spark, sf_dir)})
+    lines = quality.orphan_purchases(
+        items.withColumns({"product_id": star.lost(F.col("product_id"), 17), "store_id": star.lost(F.col("store_id"), 7)}),
+        {"product_id": star.products(spark, sf_dir), "store_id": star.stores(spark, sf_dir)})
     return buyers.unionByName(lines)
 
 
@@ -211,7 +215,8 @@ def duplicate_ratio_alert(spark, sf_dir):
         "customers": (star.table(spark, sf_dir, "customer"), ["c_custkey"]),
         "products": (star.table(spark, sf_dir, "part"), ["p_partkey"]),
         "stores": (star.table(spark, sf_dir, "supplier"), ["s_suppkey"]),
-        "purchases": (star.table(spark, sf_dir, "lineitem"), ["l_orderkey"]),
+        "purchases": (star.table(spark, sf_dir, "orders"), ["o_orderkey"]),
+        "lines": (star.table(spark, sf_dir, "lineitem"), ["l_orderkey"]),
         "items": (star.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"]),
     }), duplicate_ratio=9)
 
@@ -265,20 +270,21 @@ def _raw(spark, sf_dir, entity):
 
 def _masked_raw(spark, sf_dir, entity):
     """Raw rows of documents masked as on their way to the topic."""
-    documents = docmask.mask_documents(_DOCUMENTS[entity](spark, sf_dir), star.mask_key(spark))
+    documents = docmask.mask_documents(_DOCUMENTS[entity](spark, sf_dir), star.DEMO_KEY)
     return star.raw(documents, entity)
 
 
 def publish_json_roundtrip(spark, sf_dir):
-    documents = star.product_documents(spark, sf_dir).where("delivery = 0").drop("delivery")
-    messages = to_messages(documents, "products")
-    back = messages.select("topic", F.from_json("value", DOCUMENTS["products"]).alias("d"))
+    root = work_dir(spark, "topics")
+    publish_files(to_messages(star.product_documents(spark, sf_dir).drop("delivery"), "products"), root)
+    back = spark.read.parquet(root).select("topic", F.from_json("value", DOCUMENTS["products"]).alias("d"))
     return shown(back.select("topic", "d.id", "d.name", F.col("d.kbju.calories").alias("calories"), "d.price",
                              "d.expiry_days", "d.is_organic", F.col("d.manufacturer.inn").alias("inn")))
 
 
 def raw_landing(spark, sf_dir):
-    return shown(raw_records(star.event_messages(spark, sf_dir)))
+    path = write_batch(raw_records(star.event_messages(spark, sf_dir)), work_dir(spark, "raw"), 0, ["source"])
+    return shown(spark.read.schema(RAW).parquet(path))
 
 
 def quarantine_split(spark, sf_dir):
@@ -291,9 +297,8 @@ def _parse(entity):
 
 def _clean(entity):
     def query(spark, sf_dir):
-        typed = parse(_raw(spark, sf_dir, entity), entity)
-        out = cleaning.clean(typed, entity, as_of=star.AS_OF)
-        return shown(out.drop("email_masked", "phone_masked"))
+        typed = parse(_masked_raw(spark, sf_dir, entity), entity)
+        return shown(cleaning.clean(typed, entity, as_of=star.AS_OF))
     return query
 
 
@@ -317,18 +322,18 @@ def normalize_phones(spark, sf_dir):
 
 def mask_hmac(spark, sf_dir):
     return star.table(spark, sf_dir, "documents").select(
-        "doc_id", mask_value(F.col("text"), star.mask_key(spark)).alias("text_masked"))
+        "doc_id", mask_value(F.col("text"), star.DEMO_KEY).alias("text_masked"))
 
 
 def mask_customers(spark, sf_dir):
-    documents = star.customer_documents(spark, sf_dir).where("delivery = 0").select("loyalty_card_number", "email", "phone")
-    return docmask.mask_fields(documents, star.mask_key(spark))
+    documents = star.customer_documents(spark, sf_dir).select("loyalty_card_number", "email", "phone")
+    return docmask.mask_fields(documents, star.DEMO_KEY)
 
 
 def mask_nested(spark, sf_dir):
-    people = star.customer_documents(spark, sf_dir).where("delivery = 0").select(
+    people = star.customer_documents(spark, sf_dir).select(
         F.col("loyalty_card_number").alias("card"), F.struct("first_name", "email", "phone").alias("customer"))
-    return docmask.mask_struct(people, "customer", star.mask_key(spark)).select("card", "customer.*")
+    return docmask.mask_struct(people, "customer", star.DEMO_KEY).select("card", "customer.*")
 
 
 # --- streams: run to the end of the input, then read what they wrote -----------------------------------------
@@ -339,7 +344,7 @@ def _stream_deliveries(spark, sf_dir, root, entities, after_batch=None):
     for delivery in (0, 1):
         for entity in entities:
             sent = _DOCUMENTS[entity](spark, sf_dir).where(F.col("delivery") == delivery).drop("delivery")
-            messages = to_messages(docmask.mask_documents(sent, star.mask_key(spark)), entity)
+            messages = to_messages(docmask.mask_documents(sent, star.DEMO_KEY), entity)
             publish_files(messages, f"{root}/topics")
         stream = subscribe_files(spark, f"{root}/topics")
         start_ingest(stream, root, f"{root}/checkpoint", as_of=star.AS_OF, after_batch=after_batch).awaitTermination()
@@ -349,7 +354,7 @@ def stream_ingest_clean(spark, sf_dir):
     """Topic → raw → typed → clean over two micro-batches; the repeats meet across batches."""
     root = work_dir(spark, "ingest")
     _stream_deliveries(spark, sf_dir, root, ["purchases"])
-    return shown(current(spark, root, "purchases").drop("ins_ts", "total_amount"))
+    return shown(current(spark, root, "purchases").drop("ins_ts"))
 
 
 def stream_mart_refresh(spark, sf_dir):
@@ -358,7 +363,7 @@ def stream_mart_refresh(spark, sf_dir):
     _stream_deliveries(
         spark, sf_dir, root, ["customers", "purchases"],
         after_batch=lambda session, batch_id: refresh_affected(session, batch_id, root, as_of=star.AS_OF))
-    return shown(current_mart(spark, root, as_of=star.AS_OF).drop("total_spent", "avg_basket"))
+    return _mart(current_mart(spark, root, as_of=star.AS_OF))
 
 
 def _orders_stream(spark, sf_dir):
@@ -378,7 +383,7 @@ def stream_redelivery_dedup(spark, sf_dir):
     again = events.withColumn("delivery", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).where(
         (F.col("delivery") == 0) | (F.col("event_id") % 3 == 0))
     kept = drop_redelivered(again.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id"),
-                            ["event_id"], "ts", "60 days", salts=4)
+                            ["event_id"], "ts", "60 days")
     return _finish(kept.select("event_id", "user_id"), work_dir(spark, "dedup-stream"))
 
 

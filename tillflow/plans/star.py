@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.operators.features import category_group
-from tillflow.operators.joins import estimated_bytes, lookup_join
 
 AS_OF = "1996-01-01 00:00:00"
 DEMO_KEY = "only-for-the-given-tables"
@@ -22,20 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, limit: int = 128 << 20) -> DataFrame:
-    """Share the rows of a small table, which is one split, among all cores before costly JSON work.
-
-    A table above ``limit`` has splits enough of its own and is not shuffled.
-    """
-    if estimated_bytes(df) > limit:
-        return df
+def spread(df: DataFrame) -> DataFrame:
+    """Share the rows evenly among all cores before costly JSON work, however the files are cut."""
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
-def mask_key(spark: SparkSession) -> str:
-    return spark.conf.get("spark.tillflow.maskKey", DEMO_KEY)
-
-
 def _payment() -> Column:
     return F.when(F.col("o_orderstatus") == "F", "cash").when(F.col("o_orderstatus") == "O", "card").otherwise("gift")
 
@@ -84,10 +74,15 @@ def _deliveries(key: Column, every: int) -> Column:
     return F.explode(F.when(key % every == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
 
 
+def lost(key: Column, every: int) -> Column:
+    """A key of which every n-th value is one that no lookup table has."""
+    return F.when(key % every == 0, -key - 1).otherwise(key)
+
+
 def repeated_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers of which every ninth is unknown and every twentieth comes twice, changed."""
+    """Customers of which every twentieth comes twice, changed."""
     key = F.col("customer_id")
-    sent = customers(spark, sf_dir).where(key % 9 != 0).withColumn("delivery", _deliveries(key, 20))
+    sent = customers(spark, sf_dir).withColumn("delivery", _deliveries(key, 20))
     return sent.select(
         "customer_id",
         (F.col("registration_date") + F.make_dt_interval(F.col("delivery") * 5)).alias("registration_date"),
@@ -109,9 +104,7 @@ def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers as stores, with nation and region names."""
     supplier = table(spark, sf_dir, "supplier").withColumnRenamed("s_nationkey", "n_nationkey")
     nation = table(spark, sf_dir, "nation").withColumnRenamed("n_regionkey", "r_regionkey")
-    named = lookup_join(
-        lookup_join(supplier, nation, ["n_nationkey"]), table(spark, sf_dir, "region"), ["r_regionkey"]
-    )
+    named = supplier.join(nation, "n_nationkey", "left").join(table(spark, sf_dir, "region"), "r_regionkey", "left")
     return named.select(
         F.col("s_suppkey").alias("store_id"),
         F.col("s_name").alias("store_name"),
@@ -139,13 +132,11 @@ def store_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def buyer_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items with the buyer and the time of their purchase."""
     header = purchases(spark, sf_dir).select("purchase_id", "customer_id", "purchase_datetime", "total_amount")
-    return lookup_join(items(spark, sf_dir), header, ["purchase_id"], "inner")
+    return items(spark, sf_dir).join(header, "purchase_id")
 
 
 def feature_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookup_join(
-        buyer_items(spark, sf_dir), products(spark, sf_dir).select("product_id", "category"), ["product_id"]
-    )
+    return buyer_items(spark, sf_dir).join(products(spark, sf_dir).select("product_id", "category"), "product_id", "left")
 
 
 # --- documents --------------------------------------------------------------------------------

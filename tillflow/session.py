@@ -12,6 +12,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split skewed joins also where a later step wants their partitioning and is shuffled once more for it.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }

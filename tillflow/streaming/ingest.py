@@ -54,9 +54,9 @@ def land_batch(messages: DataFrame, batch_id: int, root: str, *, as_of: AsOf = N
     landed = write_batch(raw_records(messages), f"{root}/raw", batch_id, ["source"])
     raw = spark.read.schema(schemas.RAW).parquet(landed)
     write_batch(quarantine(raw), f"{root}/quarantine", batch_id)
-    # Topics in this batch: a handful of names, read from the folder names of what was landed.
-    topics = {row.source for row in raw.select("source").distinct().collect()}
-    for entity in topics.intersection(schemas.ENTITIES):
+    # Which of the known topics this batch holds: four names at most, whatever else was sent.
+    known = raw.where(F.col("source").isin(*schemas.ENTITIES)).select("source").distinct()
+    for entity in sorted(row.source for row in known.collect()):
         typed_path = write_batch(
             project(decode(raw, entity).where(is_readable()), entity), f"{root}/typed/{entity}", batch_id
         )
@@ -68,8 +68,9 @@ def land_batch(messages: DataFrame, batch_id: int, root: str, *, as_of: AsOf = N
 
 
 def start_ingest(messages: DataFrame, root: str, checkpoint: str, *, as_of: AsOf = None,
-                 after_batch=None) -> StreamingQuery:
-    """Run :func:`land_batch` over everything the source holds now, then stop.
+                 after_batch=None, every: str | None = None) -> StreamingQuery:
+    """Run :func:`land_batch` over everything the source holds now, then stop; with ``every``, e.g. ``"10 seconds"``,
+    go on in batches of that interval until stopped.
 
     ``after_batch(spark, batch_id)`` runs once a batch is on storage, e.g. to refresh the mart.
     """
@@ -82,7 +83,7 @@ def start_ingest(messages: DataFrame, root: str, checkpoint: str, *, as_of: AsOf
     return (
         messages.writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**({"processingTime": every} if every else {"availableNow": True}))
         .start()
     )
 

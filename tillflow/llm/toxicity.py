@@ -29,7 +29,7 @@ from tillflow.llm.learning import SAMPLE_ROWS, logistic_fit, sample, sigmoid
 # Letters that look like Latin ones, and signs that stand for letters inside words.
 HOMOGLYPHS = str.maketrans("аеорсухікмнтвԁӏοαειν", "aeopcyxikmhtbdioaeiv")
 SUBSTITUTES = str.maketrans("013457@$!", "oieastasi")
-_INSIDE = re.compile(r"(?<![^\W\d_])[013457@$]{1,2}(?=[^\W\d_]{2})|(?<=[^\W\d_])[013457@$!]{1,2}(?=[^\W\d_])")
+_INSIDE = re.compile(r"(?<![^\W_])[013457@$]{1,2}(?=[^\W\d_])|(?<=[^\W\d_])[013457@$!]{1,2}(?=[^\W\d_])")
 _SPACES = str.maketrans({c: " " for c in map(chr, range(128)) if not c.isalnum()})
 # Phrases whose lexicon words are meant otherwise; an argument of the operator.
 EXCEPTIONS = ("trash can", "trash bin", "garbage collection", "stupid question", "class clown", "sore loser award")

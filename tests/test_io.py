@@ -51,17 +51,44 @@ def test_masked_messages_carry_no_contact_data(spark, documents):
         body = json.loads(m.value)
         assert "email" not in body and "phone" not in body and len(body["email_masked"]) == 64
         assert "example.com" not in m.value.lower()
-        assert body["first_name"] == "Имя" and "preferences" in body
+        assert body["first_name"] == "Имя" and "preferences" not in body  # what is absent stays absent
 
 
 def test_publish_all(spark, documents, tmp_path):
     for entity in ("products", "stores"):
         (tmp_path / "docs" / entity).mkdir()
     target = str(tmp_path / "topics")
-    jobs.publish_all(spark, documents, "key", lambda m: publish_files(m, target))
+    aside = []
+    jobs.publish_all(spark, documents, "key", lambda m: publish_files(m, target), lambda broken: aside.extend(broken.collect()))
+    assert aside == []
     assert rows(spark.read.parquet(target).groupBy("topic").count()) == [("customers", 3), ("purchases", 3)]
 
 
+def test_documents_stay_whole(spark, tmp_path):
+    folder = tmp_path / "docs" / "products"
+    folder.mkdir(parents=True)
+    (folder / "a.json").write_text('{"id": "a", "price": "12.5", "is_organic": "true", "shelf": {"aisle": [3, null]}}')
+    (folder / "b.json").write_text('{"id": "b", "price": 1')
+    (folder / "c.json").write_text('{"id": "c", "email": null, "customer": {"phone": "8 915 000 00 00", "n": 1}, "email_masked": "old"}')
+    sent = {json.loads(m.value)["id"]: json.loads(m.value)
+            for m in jobs.masked_messages(spark, str(tmp_path / "docs"), "products", "key").collect()}
+    assert sent["a"] == {"id": "a", "price": "12.5", "is_organic": "true", "shelf": {"aisle": [3, None]}}
+    assert set(sent["c"]) == {"id", "email_masked", "customer"} and len(sent["c"]["email_masked"]) == 64
+    assert set(sent["c"]["customer"]) == {"phone_masked", "n"}
+    broken = jobs.broken_documents(spark, str(tmp_path / "docs"), "products").collect()
+    assert [(r.source, r.raw_json, r.problem) for r in broken] == [("products", '{"id": "b", "price": 1', "unreadable document")]
+
+
+def test_refresh_keeps_the_old_table_when_it_fails(spark):
+    refresh_table(spark.range(3), "kept_table")
+    with pytest.raises(Exception, match="broken"):
+        refresh_table(spark.range(3).select(F.raise_error(F.lit("broken")).cast("long").alias("id")), "kept_table")
+    assert spark.table("kept_table").count() == 3
+    refresh_table(spark.range(5), "kept_table")
+    assert spark.table("kept_table").count() == 5
+    spark.sql("DROP TABLE kept_table")
+
+
 def test_peek(spark):
     df = spark.range(20).select(F.col("id").alias("n"))
     assert [r.n for r in peek(df, 5, ["n"]).collect()] == [0, 1, 2, 3, 4]

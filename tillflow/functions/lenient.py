@@ -59,6 +59,9 @@ _OTHER_FORMATS = (
     (r"^\d{2}/\d{2}/\d{4}$", "dd/MM/yyyy"),
     (r"^\d{2}/\d{2}/\d{4} \d{2}:\d{2}:\d{2}$", "dd/MM/yyyy HH:mm:ss"),
     (r"^\d{2}\.\d{2}\.\d{4}$", "dd.MM.yyyy"),
+    (r"^\d{1,2} [A-Z][a-z]{2} \d{4}$", "d MMM yyyy"),
+    (r"^\d{1,2} [A-Z][a-z]{2} \d{4} \d{2}:\d{2}:\d{2}$", "d MMM yyyy HH:mm:ss"),
+    (r"^[A-Z][a-z]{2} \d{1,2}, \d{4}$", "MMM d, yyyy"),
     (r"^\d{2}\.\d{2}\.\d{4} \d{2}:\d{2}:\d{2}$", "dd.MM.yyyy HH:mm:ss"),
 )
 

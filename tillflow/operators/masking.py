@@ -45,6 +45,35 @@ def mask_struct(df: DataFrame, column: str, key: str | bytes, *, missing: str =
     return df.withColumn(column, masked.dropFields(*present))
 
 
+def _mask_members(members: Column, key: str | bytes, missing: str) -> Column:
+    """A map<string, variant> with contact fields swapped; a field that is absent stays absent."""
+    rest, added = members, []
+    for field in _MASKS:
+        present = F.map_contains_key(members, field)
+        value = _masked(F.variant_get(F.element_at(members, field), "$", "string"), field, key, missing)
+        added.append(F.when(present, F.create_map(F.lit(f"{field}_masked"), value.cast("variant"))).otherwise(
+            F.expr("CAST(map() AS map<string, variant>)")))
+        # A masked field that came along is replaced where the field itself is there.
+        rest = F.map_filter(rest, lambda k, _: ~((k == field) | (present & (k == f"{field}_masked"))))  # noqa: B023
+    return F.map_concat(rest, *added)
+
+
+def mask_text(body: Column, key: str | bytes, *, structs: Sequence[str] = DEFAULT_STRUCTS, missing: str = "hash"
+              ) -> Column:
+    """JSON text of an object with its contact fields masked at the top level and inside ``structs``.
+
+    Everything else is passed on as it is, undeclared fields and scalar types included. A field that is absent
+    gets no pseudonym; an explicit null is hashed like empty text, or stays null with ``missing="null"``.
+    """
+    members = _mask_members(F.from_json(body, "map<string, variant>"), key, missing)
+    for name in structs:
+        inner = F.try_variant_get(F.element_at(members, name), "$", "map<string, variant>")
+        masked = F.create_map(F.lit(name), F.parse_json(F.to_json(_mask_members(inner, key, missing))))
+        others = F.map_filter(members, lambda k, _: k != name)  # noqa: B023
+        members = F.when(inner.isNotNull(), F.map_concat(others, masked)).otherwise(members)
+    return F.to_json(members)
+
+
 def mask_documents(df: DataFrame, key: str | bytes, *, structs: Sequence[str] = DEFAULT_STRUCTS,
                    missing: str = "hash") -> DataFrame:
     """Mask a document frame at the top level and inside the given structs."""

@@ -10,27 +10,34 @@ from pyspark.sql import functions as F
 from tillflow.operators import features as feat
 from tillflow.operators.items import enrich_items, explode_items
 from tillflow.operators.mart import customer_mart
-from tillflow.operators.masking import DEFAULT_STRUCTS, mask_documents
+from tillflow.operators.masking import DEFAULT_STRUCTS, mask_text
 from tillflow.schemas import ENTITIES
 from tillflow.sinks.csv import export_csv
 from tillflow.sinks.tables import refresh_folder, stamped
-from tillflow.sinks.topics import to_messages
-from tillflow.sources.documents import read_documents
+from tillflow.sinks.topics import texts_to_messages
+from tillflow.sources.documents import read_texts, readable, unreadable
 from tillflow.sources.tables import first_existing
 
 
 def masked_messages(spark: SparkSession, documents_root: str, entity: str, key: str | bytes, *,
                     mask_managers: bool = False, multi_line: bool = True) -> DataFrame:
-    """Documents of one entity, masked, as messages for its topic."""
+    """Readable documents of one entity, masked and otherwise unchanged, as messages for its topic."""
     structs = (*DEFAULT_STRUCTS, "manager") if mask_managers else DEFAULT_STRUCTS
-    documents = read_documents(spark, f"{documents_root}/{entity}", entity, multi_line=multi_line)
-    return to_messages(mask_documents(documents, key, structs=structs), entity)
+    texts = readable(read_texts(spark, f"{documents_root}/{entity}", multi_line=multi_line))
+    return texts_to_messages(texts.select(mask_text(F.col("body"), key, structs=structs).alias("body")), entity)
 
 
-def publish_all(spark: SparkSession, documents_root: str, key: str | bytes, send, **options: bool) -> None:
-    """Publish every entity; ``send(messages)`` is a topic sink."""
+def broken_documents(spark: SparkSession, documents_root: str, entity: str, *, multi_line: bool = True) -> DataFrame:
+    """Documents of one entity that cannot be published, with their text."""
+    return unreadable(read_texts(spark, f"{documents_root}/{entity}", multi_line=multi_line), entity)
+
+
+def publish_all(spark: SparkSession, documents_root: str, key: str | bytes, send, put_aside, *, multi_line: bool = True,
+                **options: bool) -> None:
+    """Publish every entity; ``send(messages)`` is a topic sink, ``put_aside(rows)`` takes unreadable documents."""
     for entity in ENTITIES:
-        send(masked_messages(spark, documents_root, entity, key, **options))
+        put_aside(broken_documents(spark, documents_root, entity, multi_line=multi_line))
+        send(masked_messages(spark, documents_root, entity, key, multi_line=multi_line, **options))
 
 
 def warehouse(spark: SparkSession, database: str) -> dict[str, DataFrame]:

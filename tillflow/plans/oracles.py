@@ -362,6 +362,30 @@ SELECT source AS topic, raw_json AS value, ts AS sent_at FROM ({_EVENTS}) ORDER
         "publish_json_roundtrip": f"""
 SELECT 'products' AS topic, product_id AS id, name, calories, price, CAST(p_size AS BIGINT) * 2500 AS expiry_days,
        is_organic, manufacturer_inn AS inn FROM ({_PRODUCT_DOCS}) JOIN part ON k = p_partkey""",
+        "publish_documents": f"""
+SELECT 'prd-' || p_partkey AS id, CAST(CAST(p_size AS BIGINT) * 2500 AS VARCHAR) AS expiry_days,
+       CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 0 END AS is_text, CAST(p_partkey % 5 AS VARCHAR) AS aisle, NULL::VARCHAR AS put_aside
+FROM part, {_D} WHERE (d = 0 OR p_partkey % 10 = 0) AND p_partkey % 11 <> 5
+UNION ALL SELECT NULL, NULL, NULL, NULL, substr('{{"id":"prd-' || p_partkey || '","name":"' || p_name, 1, 20)
+FROM part, {_D} WHERE (d = 0 OR p_partkey % 10 = 0) AND p_partkey % 11 = 5""",
+        "mask_texts": f"""
+SELECT c_custkey AS id, m AS email_masked, m AS nested_masked, CASE WHEN c_custkey % 4 = 2 THEN '1' END AS kept, 0 AS plain_left
+FROM (SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN {_hmac("'c' || c_custkey || '@example.com'")}
+                             WHEN c_custkey % 4 <> 2 THEN {_hmac("''")} END AS m FROM customer)""",
+        "clean_exact": f"""
+SELECT DISTINCT purchase_id, customer_id, store_id, total_amount, lower(payment_method) AS payment_method, is_delivery,
+       {_time('purchase_datetime')} AS purchase_datetime, {_DELIVERY}, ins_ts
+FROM ({_PURCHASE_DOCS}) WHERE {_GOOD_PURCHASES}""",
+        "csv_export": f"SELECT {_TOTAL_COLUMNS} FROM ({_TOLERANT}) p",
+        "table_fallback": """
+SELECT 'purchases' AS entity, count(*) AS rows FROM orders UNION ALL SELECT 'customers', count(*) FROM customer""",
+        "mart_defaults": _mart(
+            _totals(f"""SELECT * REPLACE (CASE WHEN purchase_id % 13 = 0 THEN 0 ELSE total_amount END AS total_amount,
+                        '' AS payment_method, 0 AS is_delivery) FROM ({_PURCHASES})""", "count(*)", "total_amount"),
+            f"SELECT * FROM ({_CUSTOMERS}) WHERE customer_id % 3 <> 0", _ELAPSED),
+        "best_effort_times": """
+SELECT o_orderkey AS purchase_id, CASE WHEN o_orderkey % 11 <> 10 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS at
+FROM orders""",
         "raw_landing": f"SELECT ts, source, raw_json FROM ({_EVENTS})",
         "quarantine_split": f"""
 SELECT ts, source, raw_json, CASE WHEN source = 'error' THEN 'unknown topic' ELSE 'unreadable document' END AS problem

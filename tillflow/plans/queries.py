@@ -7,11 +7,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillflow.functions.lenient import to_instant
 from tillflow.functions.masking import mask_value, normalize_phone
 from tillflow.operators import clean as cleaning
 from tillflow.operators import counting, dashboards, dedup, mart, quality
@@ -23,8 +25,11 @@ from tillflow.operators.upsert import upsert
 from tillflow.plans import star
 from tillflow.schemas import DOCUMENTS, ENTITIES, RAW
 from tillflow.session import shared_dir
-from tillflow.sinks.tables import read_latest, refresh_folder, stamped, write_batch
-from tillflow.sinks.topics import publish_files, to_messages
+from tillflow.sinks.csv import export_csv
+from tillflow.sinks.tables import read_latest, refresh_folder, refresh_table, stamped, typed_defaults, write_batch
+from tillflow.sinks.topics import publish_files, texts_to_messages, to_messages
+from tillflow.sources.documents import readable, unreadable
+from tillflow.sources.tables import first_existing
 from tillflow.sources.topics import peek, subscribe_files
 from tillflow.streaming.dedup import drop_redelivered
 from tillflow.streaming.ingest import current, raw_records, start_ingest
@@ -287,6 +292,98 @@ def raw_landing(spark, sf_dir):
     return shown(spark.read.schema(RAW).parquet(path))
 
 
+def _document_texts(spark, sf_dir, root):
+    """Product documents as files of one object per line: with a field nobody declared, some numbers as text, some cut off."""
+    key = F.regexp_extract("id", r"\d+", 0).cast("long")
+    sent = star.product_documents(spark, sf_dir).drop("price", "kbju", "delivery").withColumns({
+        "shelf": F.struct((key % 5).alias("aisle")), "expiry_text": F.when(key % 3 == 0, F.col("expiry_days").cast("string")),
+        "expiry_days": F.when(key % 3 != 0, F.col("expiry_days"))})
+    whole = F.to_json(F.struct("*"))
+    body = F.regexp_replace(whole, '"expiry_text"', '"expiry_days"')  # NULL fields are left out, so one of the two is there
+    sent.select(F.when(key % 11 == 5, F.substring(body, 1, 20)).otherwise(body)).write.text(f"{root}/products")
+    # Spark's text files do not end in .json, documents do.
+    return spark.read.text(f"{root}/products").select(F.col("value").alias("body"))
+
+
+def publish_documents(spark, sf_dir):
+    """What was published, read back, and what was put aside."""
+    root = work_dir(spark, "documents")
+    texts = _document_texts(spark, sf_dir, root)
+    publish_files(texts_to_messages(readable(texts), "products"), f"{root}/topics")
+    unreadable(texts, "products").write.parquet(f"{root}/quarantine")
+    value = F.col("value")
+    number = F.try_variant_get(F.parse_json(value), "$.expiry_days", "variant")
+    sent = spark.read.parquet(f"{root}/topics").select(
+        F.get_json_object(value, "$.id").alias("id"), F.get_json_object(value, "$.expiry_days").alias("expiry_days"),
+        (F.schema_of_variant(number) == "STRING").cast("int").alias("is_text"),
+        F.get_json_object(value, "$.shelf.aisle").alias("aisle"), F.lit(None).cast("string").alias("put_aside"))
+    aside = spark.read.parquet(f"{root}/quarantine").select(F.col("raw_json").alias("put_aside"))
+    return sent.unionByName(aside, allowMissingColumns=True)
+
+
+def mask_texts(spark, sf_dir):
+    """Customer documents whose e-mail is given, null, absent or blank, masked as text."""
+    key = F.col("c_custkey")
+    mail = F.when(key % 4 == 0, star.email(key)).when(key % 4 == 3, "")
+    whole = F.to_json(F.struct(key.alias("id"), mail.alias("email"), F.struct(mail.alias("email")).alias("customer")),
+                      {"ignoreNullFields": "false"})
+    absent = F.to_json(F.struct(key.alias("id"), F.struct(F.lit(1).alias("kept")).alias("customer")))
+    body = star.table(spark, sf_dir, "customer").select(F.when(key % 4 == 2, absent).otherwise(whole).alias("body"))
+    masked = body.select(docmask.mask_text(F.col("body"), star.DEMO_KEY).alias("m"))
+    return masked.select(
+        F.get_json_object("m", "$.id").cast("long").alias("id"), F.get_json_object("m", "$.email_masked").alias("email_masked"),
+        F.get_json_object("m", "$.customer.email_masked").alias("nested_masked"),
+        F.get_json_object("m", "$.customer.kept").alias("kept"), F.contains("m", F.lit('"email"')).cast("int").alias("plain_left"))
+
+
+def clean_exact(spark, sf_dir):
+    """The SQL definition of clean purchases: only identical rows are one."""
+    typed = parse(_masked_raw(spark, sf_dir, "purchases"), "purchases")
+    twice = typed.unionAll(typed)
+    return shown(cleaning.clean(twice, "purchases", as_of=star.AS_OF, duplicates="exact"))
+
+
+def csv_export(spark, sf_dir):
+    """The mart as dated CSV, read back."""
+    target = export_csv(customer_agg(spark, sf_dir), work_dir(spark, "export"), "mart", datetime(1996, 1, 1))
+    schema = "customer_id long, purchase_count long, total_spent double, avg_basket double, first_purchase string, " \
+             "last_purchase string, distinct_stores long, cash_count long, card_count long, delivery_count long"
+    return spark.read.schema(schema).option("header", True).csv(target)
+
+
+def table_fallback(spark, sf_dir):
+    """Of two tables the first that exists: the clean one of purchases, the typed one of customers."""
+    name = f"shop_{uuid.uuid4().hex}"
+    for entity, table in (("purchases", f"clean_{name}_purchases"), ("customers", f"{name}_customers")):
+        out = getattr(star, entity)(spark, sf_dir)
+        refresh_table(out.limit(0), f"{name}_{entity}")
+        refresh_table(out, table)
+    found = [(e, first_existing(spark, f"clean_{name}_{e}", f"{name}_{e}").count()) for e in ("purchases", "customers")]
+    for table in (f"clean_{name}_purchases", f"{name}_purchases", f"{name}_customers"):
+        spark.sql(f"DROP TABLE {table}")
+    return spark.createDataFrame(found, "entity string, rows long")
+
+
+def mart_defaults(spark, sf_dir):
+    """The tolerant mart of purchases whose amounts are text and that lack two columns, stored without NULLs."""
+    narrow = star.purchases(spark, sf_dir).select(
+        "customer_id", "purchase_id", "store_id", "purchase_datetime",
+        F.when(F.col("purchase_id") % 13 == 0, "n/a").otherwise(F.col("total_amount").cast("string")).alias("total_amount"))
+    known = star.customers(spark, sf_dir).where(F.col("customer_id") % 3 != 0)
+    return _mart(typed_defaults(mart.customer_mart(narrow, known, as_of=star.AS_OF)))
+
+
+def best_effort_times(spark, sf_dir):
+    """Order dates written in many ways, read back."""
+    key, day = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp")
+    ways = ["yyyy-MM-dd", "yyyyMMdd", "yyyy/MM/dd", "dd/MM/yyyy", "dd.MM.yyyy", "d MMM yyyy", "MMM d, yyyy",
+            "yyyy-MM-dd'T'HH:mm:ss", "d MMM yyyy HH:mm:ss", "yyyyMMddHHmmss"]
+    text = F.lit("soon")
+    for i, way in enumerate(ways):
+        text = F.when(key % (len(ways) + 1) == i, F.date_format(day, way)).otherwise(text)
+    return shown(star.table(spark, sf_dir, "orders").select(key.alias("purchase_id"), to_instant(text).alias("at")))
+
+
 def quarantine_split(spark, sf_dir):
     return shown(quarantine(raw_records(star.event_messages(spark, sf_dir))))
 
@@ -427,6 +524,13 @@ QUERIES: dict[str, Query] = {
     "peek_limit": peek_limit,
     "publish_json_roundtrip": publish_json_roundtrip,
     "raw_landing": raw_landing,
+    "publish_documents": publish_documents,
+    "mask_texts": mask_texts,
+    "clean_exact": clean_exact,
+    "csv_export": csv_export,
+    "table_fallback": table_fallback,
+    "mart_defaults": mart_defaults,
+    "best_effort_times": best_effort_times,
     "quarantine_split": quarantine_split,
     **{f"parse_{e}": _parse(e) for e in ENTITIES},
     **{f"clean_{e}": _clean(e) for e in ENTITIES},

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,8 +34,21 @@ def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def refresh_table(df: DataFrame, table: str) -> None:
-    """Full refresh of a catalog table, by column name; an empty input leaves an empty table."""
-    df.write.mode("overwrite").saveAsTable(table)
+    """Full refresh of a catalog table, by column name; an empty input leaves an empty table.
+
+    The new table is complete before the old one goes, so a run that fails leaves the old one.
+    """
+    spark, staged = df.sparkSession, f"{table}_staged_{uuid.uuid4().hex}"
+    df.write.saveAsTable(staged)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+
+
+def typed_defaults(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """NULL text as ``''`` and NULL numbers as 0, for stores whose columns cannot be NULL; times stay NULL."""
+    filled = {f.name: "" if f.dataType.simpleString() == "string" else 0 for f in df.schema.fields
+              if f.name not in keep and f.dataType.simpleString() in ("string", "int", "bigint", "double", "float")}
+    return df.fillna(filled)
 
 
 def refresh_folder(df: DataFrame, root: str, version: str, *, sort_by: Sequence[str] = ()) -> str:

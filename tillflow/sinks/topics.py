@@ -14,6 +14,11 @@ def to_messages(documents: DataFrame, topic: str) -> DataFrame:
     )
 
 
+def texts_to_messages(texts: DataFrame, topic: str) -> DataFrame:
+    """``topic, value`` of documents that are text already (``body``)."""
+    return texts.select(F.lit(topic).alias("topic"), F.col("body").alias("value"))
+
+
 def publish_broker(messages: DataFrame, servers: str, **options: str) -> None:
     """Send to a broker; needs Spark's Kafka package."""
     messages.write.format("kafka").option("kafka.bootstrap.servers", servers).options(**options).save()

@@ -8,8 +8,8 @@ with probability 4e-6. What is left is confirmed on the full sets of 64-bit shin
 
 Links inside a large group are not enumerated. In each posting list all sets are compared with one of them, the
 centre, which shares most with the others; this is repeated ``ROUNDS`` times with other centres in the lists whose sets are not of one component yet.
-Sets that still are in lists of several components are joined by the same prefix rule once more, now on their full
-sets: a set of n shingles is posted under the rarest n - 0.8 n + 1 of them, and those no other such set has come first.
+Of the lists that still hold several components, the short ones are compared pair by pair, which is at most
+``SHORT_LIST`` pairs a posting. The sets of longer ones are joined by the same prefix rule once more, on their full sets: a set of n shingles is posted under the rarest n - 0.8 n + 1 of them, and those no other such set has come first.
 Only sets of different components are compared there, where sizes and places in the order allow it, and the sets of a list's largest component not with each other.
 
 Defined cases: NULL and empty texts, and texts of white space only, have an empty set and no links; a text of
@@ -37,7 +37,10 @@ SIMILARITY = 0.8
 COORDINATES = 64
 MATCHES = 36
 ROUNDS = 2
+SHORT_LIST = 32
 
+# Ids and pairs of ids up to this many are broadcast (16 bytes each); more are joined by a shuffle.
+BROADCAST_ROWS = 500_000
 # Text bytes that one step inside a task turns into arrays.
 CHUNK_BYTES = 4 << 20
 
@@ -136,23 +139,22 @@ def _confirmed(percent: int):
 
 
 def _postings(sets: DataFrame) -> DataFrame:
-    """(token, node, n, weight): each set under the tokens of its prefix, of those that several sets hold.
+    """(token, node, weight): each set under the tokens of its prefix, of those that several sets hold.
 
     ``weight`` says how much of its signature a set shares with how many others.
     """
-    tokens = sets.select("node", "n", F.posexplode("signature").alias("i", "v")).select(
-        "node", "n", (F.col("i").cast("long") * 2**32 + F.col("v")).alias("token"))
+    tokens = sets.select("node", F.posexplode("signature").alias("i", "v")).select(
+        "node", (F.col("i").cast("long") * 2**32 + F.col("v")).alias("token"))
     # Grouped tables are written before they are joined, so that adaptive execution can split a hot key's rows.
     shared = written(tokens.groupBy("token").agg(F.count("*").alias("held")).where("held > 1"), "shared")
     prefix = COORDINATES - MATCHES + 1
     listed = tokens.join(shared, "token").groupBy("node").agg(
-        F.max("n").alias("n"), F.sum("held").alias("weight"),
+        F.sum("held").alias("weight"),
         F.array_sort(F.collect_list(F.struct("held", "token"))).alias("tokens"))
     # Tokens no other set holds come first in the order and take their places of the prefix.
     free = prefix - (COORDINATES - F.size("tokens"))
     return listed.where(free > 0).select(
-        "node", "n", "weight", F.explode(F.slice("tokens", F.lit(1), free)).alias("t")).select(
-        "t.token", "node", "n", "weight")
+        "node", "weight", F.explode(F.slice("tokens", F.lit(1), free)).alias("t")).select("t.token", "node", "weight")
 
 
 def _matching(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -162,10 +164,16 @@ def _matching(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(same >= MATCHES).select("a", "b")
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """A stored table of ids, to be broadcast if it has at most BROADCAST_ROWS rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def _links(pairs: DataFrame, sets: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """The candidate pairs (a, b) that signatures and full sets confirm."""
-    a, b = (full.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
-    both = written(_matching(pairs.distinct(), sets), "pairs").join(a, "a").join(b, "b").select("a", "b", "sa", "sb")
+    pairs = _small(written(_matching(pairs.distinct(), sets), "pairs"))
+    a, b = (full.withColumnRenamed("node", c).join(pairs, c).select("a", "b", F.col("shingles").alias(f"s{c}")) for c in "ab")
+    both = a.join(b, ["a", "b"]).select("a", "b", "sa", "sb")
     return written(both.mapInArrow(_confirmed(percent), "a long, b long"), "links")
 
 
@@ -181,17 +189,22 @@ def _all_links(posted: DataFrame, sets: DataFrame, full: DataFrame, percent: int
         found = _links(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), sets, full, percent)
         links = found if links is None else links.unionAll(found)
         labelled = written(posted.join(written(components(links), "roots"), "node", "left").select(
-            "token", "node", "n", "weight", F.coalesce("root", "node").alias("root")), "labelled")
-        several = written(labelled.groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most"))
-                          .where("least < most").select("token"), "several")
+            "token", "node", "weight", F.coalesce("root", "node").alias("root")), "labelled")
+        several = written(labelled.groupBy("token").agg(
+            F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("length"))
+            .where("least < most").select("token", "length"), "several")
         apart = written(labelled.join(several, "token"), "apart")
-    return links.unionAll(_links(_rest(apart, full, percent), sets, full, percent))
+    short, long = apart.where(F.col("length") <= SHORT_LIST), apart.where(F.col("length") > SHORT_LIST)
+    x = short.select("token", F.col("node").alias("a"), F.col("root").alias("ra"))
+    y = short.select("token", F.col("node").alias("b"), F.col("root").alias("rb"))
+    pairs = x.join(y, "token").where("a < b AND ra <> rb").select("a", "b").unionAll(_rest(long, full, percent))
+    return links.unionAll(_links(pairs, sets, full, percent))
 
 
 def _rest(apart: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of sets of different components that share a shingle of their prefixes."""
     nodes = written(apart.select("node", "root").distinct(), "apart-nodes")
-    each = full.join(nodes, "node").select("node", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("token"))
+    each = full.join(_small(nodes), "node").select("node", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("token"))
     shared = written(each.groupBy("token").agg(F.count("*").alias("held")).where("held > 1"), "shared-shingles")
     listed = each.join(shared, "token").groupBy("node").agg(
         F.max("n").alias("n"), F.max("root").alias("root"),
@@ -238,10 +251,12 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", shing
     texts = base.select(F.col(node).alias("node"), F.col(f"`{whole}`").alias("whole"))
 
     posted = written(_postings(sets), "postings")
-    # Full sets of all texts that are compared with any other.
-    full = written(texts.join(posted.select("node").distinct(), "node", "left_semi").select("node", "whole").mapInArrow(
+    # Full sets and signatures of all texts that are compared with any other.
+    compared = _small(written(posted.select("node").distinct(), "compared"))
+    full = written(texts.join(compared, "node", "left_semi").select("node", "whole").mapInArrow(
         _sets(shingle), "node long, shingles array<long>"), "shingles")
-    links = _all_links(posted, sets, full, percent)
+    signatures = written(sets.select("node", "signature").join(compared, "node", "left_semi"), "signatures")
+    links = _all_links(posted, signatures, full, percent)
 
     rooted = sets.join(components(links), "node", "left").select(
         "k1", "k2", "first", F.coalesce("root", "node").alias("root"))

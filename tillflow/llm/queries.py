@@ -6,9 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import pii, secrets
+from tillflow.llm import bpe, minhash, pii, secrets, sharding, substrings, syncmers
 from tillflow.llm import decontaminate as decon
-from tillflow.llm import bpe, minhash, sharding, substrings, syncmers
 from tillflow.llm import quality as ranking
 from tillflow.llm import toxicity as lexical
 from tillflow.llm.common import table

@@ -271,6 +271,10 @@ SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, l_returnflag, l_extendedp
 UNION ALL
 SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, l_returnflag, l_extendedprice / l_quantity, l_quantity - 25
 FROM lineitem WHERE l_quantity > 25"""
+    ingested = f"""
+SELECT purchase_id, customer_id, store_id, total_amount, lower(payment_method) AS payment_method, is_delivery,
+       {_time('purchase_datetime')} AS purchase_datetime, {_DELIVERY}
+FROM ({_last(_PURCHASE_DOCS, _GOOD_PURCHASES)})"""
     return {
         "customer_agg": f"SELECT {_TOTAL_COLUMNS} FROM ({_TOLERANT}) p",
         "customer_mart": _mart(_TOLERANT, _FIRST_ROW, _ELAPSED),
@@ -437,10 +441,8 @@ FROM customer, {_D} WHERE d = 0 OR c_custkey % 10 = 0""",
 SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS card, c_name AS first_name,
        {_hmac("'c' || c_custkey || '@example.com'")} AS email_masked, {_hmac(_normal('c_custkey'))} AS phone_masked
 FROM customer, {_D} WHERE d = 0 OR c_custkey % 10 = 0""",
-        "stream_ingest_clean": f"""
-SELECT purchase_id, customer_id, store_id, total_amount, lower(payment_method) AS payment_method, is_delivery,
-       {_time('purchase_datetime')} AS purchase_datetime, {_DELIVERY}
-FROM ({_last(_PURCHASE_DOCS, _GOOD_PURCHASES)})""",
+        "stream_ingest_clean": ingested,
+        "stream_compacted": ingested,
         "stream_mart_refresh": _stream_mart(),
         "stream_redelivery_dedup": "SELECT event_id, user_id FROM events",
         "stream_trend_by_day": """

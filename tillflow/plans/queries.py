@@ -32,7 +32,7 @@ from tillflow.sources.documents import readable, unreadable
 from tillflow.sources.tables import first_existing
 from tillflow.sources.topics import peek, subscribe_files
 from tillflow.streaming.dedup import drop_redelivered
-from tillflow.streaming.ingest import current, raw_records, start_ingest
+from tillflow.streaming.ingest import compact, current, raw_records, start_ingest
 from tillflow.streaming.mart import current_mart, refresh_affected
 from tillflow.streaming.trend import current_trend, start_trend
 
@@ -454,6 +454,14 @@ def stream_ingest_clean(spark, sf_dir):
     return shown(current(spark, root, "purchases").drop("ins_ts"))
 
 
+def stream_compacted(spark, sf_dir):
+    """The same with the first batch compacted before the second one comes."""
+    root = work_dir(spark, "compacted")
+    _stream_deliveries(spark, sf_dir, root, ["purchases"],
+                       after_batch=lambda session, batch_id: batch_id == 0 and compact(session, root, "purchases"))
+    return shown(current(spark, root, "purchases").drop("ins_ts"))
+
+
 def stream_mart_refresh(spark, sf_dir):
     """The mart after every batch has refreshed the customers it touched."""
     root = work_dir(spark, "mart-stream")
@@ -540,6 +548,7 @@ QUERIES: dict[str, Query] = {
     "mask_customers": mask_customers,
     "mask_nested": mask_nested,
     "stream_ingest_clean": stream_ingest_clean,
+    "stream_compacted": stream_compacted,
     "stream_mart_refresh": stream_mart_refresh,
     "stream_redelivery_dedup": stream_redelivery_dedup,
     "stream_trend_by_day": stream_trend_by_day,

@@ -66,7 +66,16 @@ def refresh_folder(df: DataFrame, root: str, version: str, *, sort_by: Sequence[
     return target
 
 
+def latest_version(spark: SparkSession, root: str) -> str | None:
+    """The newest published version below ``root``, or None."""
+    try:
+        return spark.read.schema("version string").parquet(f"{root}/published").agg(F.max("version")).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def read_latest(spark: SparkSession, root: str) -> DataFrame:
     """The newest published version below ``root``, which may be an empty table."""
-    newest = spark.read.schema("version string").parquet(f"{root}/published").agg(F.max("version")).first()[0]
-    return spark.read.parquet(f"{root}/version={newest}")
+    return spark.read.parquet(f"{root}/version={latest_version(spark, root)}")

@@ -16,7 +16,7 @@ from tillflow.functions.clock import AsOf
 from tillflow.operators import clean as cleaning
 from tillflow.operators.dedup import keep_latest
 from tillflow.operators.parse import decode, is_readable, project, quarantine
-from tillflow.sinks.tables import read_batches, write_batch
+from tillflow.sinks.tables import latest_version, read_batches, refresh_folder, write_batch
 
 _TYPES = {"text": "string", "float": "double", "uint16": "int", "flag": "int", "day": "date", "instant": "timestamp"}
 
@@ -93,7 +93,28 @@ def history(spark: SparkSession, root: str, entity: str) -> DataFrame:
     return read_batches(spark, f"{root}/clean/{entity}", CLEAN_SCHEMA[entity])
 
 
+def _last_deliveries(spark: SparkSession, root: str, entity: str) -> DataFrame:
+    """The last delivery of each key with its batch: from the newest compacted version and the batches after it."""
+    rows, folder = history(spark, root, entity), f"{root}/compact/{entity}"
+    version = latest_version(spark, folder)
+    if version is not None:
+        rows = rows.where(F.col("batch_id") > int(version)).unionByName(spark.read.parquet(f"{folder}/version={version}"))
+    return keep_latest(rows, [schemas.KEYS[entity]], ["ins_ts", "batch_id"])
+
+
 def current(spark: SparkSession, root: str, entity: str) -> DataFrame:
     """The clean table as readers want it: the last delivery of each key, however late it came."""
-    key = schemas.KEYS[entity]
-    return keep_latest(history(spark, root, entity), [key], ["ins_ts", "batch_id"]).drop("batch_id")
+    return _last_deliveries(spark, root, entity).drop("batch_id")
+
+
+def compact(spark: SparkSession, root: str, entity: str) -> str | None:
+    """Fold all batches so far into one version with one row per key; later reads rank only newer batches against it.
+
+    The version is published when it is complete and named after the last batch in it. Older batch folders are no
+    longer read by :func:`current` and may be deleted by whoever owns the store.
+    """
+    newest = history(spark, root, entity).agg(F.max("batch_id")).first()[0]
+    if newest is None:
+        return None
+    upto = _last_deliveries(spark, root, entity).where(F.col("batch_id") <= newest)
+    return refresh_folder(upto, f"{root}/compact/{entity}", f"{newest:020d}", sort_by=[schemas.KEYS[entity]])

@@ -74,11 +74,11 @@ def _signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def chunks(texts: list[str | None], most: int = CHUNK_BYTES) -> Iterator[tuple[int, list[str]]]:
-    """(place of the first, texts) in runs of bounded length."""
+def chunks(texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, list[str]]]:
+    """(place of the first, texts) of a column in runs of bounded length; only one run is held as Python strings."""
     run, length, at = [], 0, 0
     for text in texts:
-        run.append(text or "")
+        run.append(text.as_py() or "")
         length += len(run[-1])
         if length >= most:
             yield at, run
@@ -92,8 +92,7 @@ def _described(size: int, text_column: str, names: list[str]):
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text_column)).to_pylist()
-            for at, run in chunks(texts):
+            for at, run in chunks(batch.column(batch.schema.get_field_index(text_column))):
                 sets = [shingle_hashes(t, size) for t in run]
                 full = [s for s in sets if len(s)]
                 rows = iter(_signatures(full)) if full else iter(())
@@ -114,7 +113,7 @@ def _sets(size: int):
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, run in chunks(batch.column(1).to_pylist()):
+            for at, run in chunks(batch.column(1)):
                 sets = [shingle_hashes(t, size).view(np.int64) for t in run]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, len(run)), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])

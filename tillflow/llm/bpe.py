@@ -6,8 +6,8 @@
    its ids return to the blocks that asked. A word has at most one entry per block, so no word is a hot key.
 3. A block and the ids of its words meet again, and the texts are put together by position.
 
-Rows are packed: a block sends one row of words per part, not one per word. Numbers within a block are ranks by
-frequency, kept as compressed byte planes, so that the positions take about a quarter of the text.
+Rows are packed: a block sends one row of words per part, not one per word. Numbers within a block rise with falling
+frequency and are kept as bytes of varying number, compressed, so that the positions take about a quarter of the text.
 
 Defined cases: a NULL text counts as empty and has no ids; texts of any length are one row; repeated rows and
 missing or repeated row keys are kept as they are; no special tokens, their strings are ordinary text; decoding
@@ -25,9 +25,9 @@ from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 import tiktoken
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,8 +36,9 @@ from pyspark.sql.pandas.types import to_arrow_type
 from tillflow.llm.common import text_of, written
 
 BLOCK_BYTES = 16 << 20
-# Ids handed to Spark at once.
-OUT_IDS = 1 << 20
+# Words put together, and bytes decoded, before a task hands them to Spark.
+OUT_WORDS = 1 << 18
+OUT_BYTES = 4 << 20
 
 # The pattern of the public rank files, and the same pattern for texts of ASCII only, where ``\\s`` is
 # [\\t-\\r\\x20], ``\\p{L}`` [A-Za-z] and ``\\p{N}`` [0-9].
@@ -59,15 +60,41 @@ def splitter(pattern: str) -> Callable[[str], list[str]]:
     return lambda text: plain(text) if text.isascii() else whole(text)
 
 
+def _compressed(raw: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(raw)
+
+
+# Numbers are kept as a first byte each: itself below ONE; then the high part of a number of two bytes; then of one of
+# three; or ESCAPE for one of four more. The further bytes follow, number by number of each kind.
+ONE, HIGH, ESCAPE = 192, 252, 255
+TWO = (HIGH - ONE) << 8
+THREE = (ESCAPE - HIGH) << 16
+
+
 def _packed(values: np.ndarray) -> bytes:
-    """Unsigned numbers as compressed byte planes, lowest byte first."""
-    planes = values.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return pa.compress(np.ascontiguousarray(planes).tobytes(), "zstd", asbytes=True)
+    """Numbers below 2**32, compressed."""
+    v = values.astype(np.int64)
+    two, three = v - ONE, v - ONE - TWO
+    kinds = np.searchsorted([ONE, ONE + TWO, ONE + TWO + THREE], v, side="right")
+    first = np.select([kinds == 0, kinds == 1, kinds == 2], [v, ONE + (two >> 8), HIGH + (three >> 16)], ESCAPE)
+    return _compressed(b"".join([
+        first.astype(np.uint8).tobytes(), (two[kinds == 1] & 255).astype(np.uint8).tobytes(),
+        (three[kinds == 2] & 65535).astype("<u2").tobytes(), v[kinds == 3].astype("<u4").tobytes()]))
 
 
 def _unpacked(body: bytes, n: int) -> np.ndarray:
-    planes = np.frombuffer(pa.decompress(body, 4 * n, "zstd", asbytes=True), np.uint8).reshape(4, n)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+    if not n:
+        return np.empty(0, np.int64)
+    raw = zstandard.ZstdDecompressor().decompress(body)
+    first = np.frombuffer(raw, np.uint8, n)
+    out, at = first.astype(np.int64), n
+    for chosen, kind, base, offset in (((first >= ONE) & (first < HIGH), "<u1", ONE, ONE),
+                                       ((first >= HIGH) & (first < ESCAPE), "<u2", HIGH, ONE + TWO)):
+        low = np.frombuffer(raw, kind, int(chosen.sum()), at)
+        out[chosen] = ((out[chosen] - base) << 8 * low.itemsize) + low + offset
+        at += low.nbytes
+    out[first == ESCAPE] = np.frombuffer(raw, "<u4", int((first == ESCAPE).sum()), at)
+    return out
 
 
 def _split_blocks(pattern: str, parts: int, names: list[str], id_type: pa.DataType, block_bytes: int):
@@ -76,11 +103,13 @@ def _split_blocks(pattern: str, parts: int, names: list[str], id_type: pa.DataTy
 
     def flush(block: int, keys: list, numbers: list[np.ndarray], words: list[str]) -> Iterator[pa.RecordBatch]:
         flat = np.concatenate(numbers) if numbers else np.empty(0, np.int64)
-        by_use = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
-        rank = np.empty(len(words), np.int64)
-        rank[by_use] = np.arange(len(words))
-        ordered = [words[i] for i in by_use]
-        raw = [w.encode("utf-8", "surrogatepass") for w in ordered]
+        # Words of about the same frequency are in order of their bytes, which compresses them well.
+        raw = [w.encode("utf-8", "surrogatepass") for w in words]
+        rarity = (-np.log2(np.maximum(np.bincount(flat, minlength=len(words)), 1)).astype(np.int64)).tolist()
+        by_use = sorted(range(len(words)), key=lambda i: (rarity[i], raw[i]))
+        rank = np.empty(len(words), np.int32)
+        rank[by_use] = np.arange(len(words), dtype=np.int32)
+        raw = [raw[i] for i in by_use]
         part = np.fromiter((zlib.crc32(r) % parts for r in raw), np.int64, len(raw))
         rows = [{"block": block, "part": -1, "n": len(flat), "keys": keys, "lengths": [len(a) for a in numbers],
                  "n_words": len(words), "of": _packed(part), "body": _packed(rank[flat])}]
@@ -88,7 +117,7 @@ def _split_blocks(pattern: str, parts: int, names: list[str], id_type: pa.DataTy
         bounds = np.searchsorted(part[grouped], np.arange(parts + 1))
         for p in np.flatnonzero(np.diff(bounds)):
             mine = [raw[i] for i in grouped[bounds[p]:bounds[p + 1]]]
-            body = pa.compress(b"".join(mine), "zstd", asbytes=True)
+            body = _compressed(b"".join(mine))
             rows.append({"block": block, "part": int(p), "n": sum(map(len, mine)), "keys": None, "lengths": None,
                          "n_words": len(mine), "of": _packed(np.array([len(r) for r in mine])), "body": body})
         yield pa.RecordBatch.from_pylist(rows, schema=_block_schema(names, id_type))
@@ -97,10 +126,11 @@ def _split_blocks(pattern: str, parts: int, names: list[str], id_type: pa.DataTy
         find, task, blocks = splitter(pattern), TaskContext.get().partitionId(), count()
         numbering, keys, numbers, held = defaultdict(count().__next__), [], [], 0
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for at in range(batch.num_rows):
+                text = batch.column(1)[at].as_py()
                 found = find(text)
-                numbers.append(np.fromiter(map(numbering.__getitem__, found), np.int64, len(found)).astype(np.int32))
-                keys.append(key)
+                numbers.append(np.fromiter(map(numbering.__getitem__, found), np.int32, len(found)))
+                keys.append(batch.column(0)[at].as_py())
                 held += len(text)
                 if held >= block_bytes:
                     yield from flush(task << 32 | next(blocks), keys, numbers, list(numbering))
@@ -141,7 +171,7 @@ def _encode_words(pattern: str, ranks):
             for row in batch.to_pylist():
                 if row["part"] != now:
                     now, known = row["part"], _Encoded(tokenizer.encode_ordinary)
-                text = pa.decompress(row["body"], row["n"], "zstd", asbytes=True)
+                text = zstandard.ZstdDecompressor().decompress(row["body"])
                 ends = np.cumsum(_unpacked(row["of"], row["n_words"])).tolist()
                 words = [text[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
                 found = [known[w] for w in words]
@@ -174,8 +204,8 @@ def _put_together(key: str, id_type: pa.DataType):
                 upto = np.concatenate([[0], np.cumsum(row["lengths"])]).astype(np.int64)
                 doc, docs = 0, len(row["keys"])
                 while doc < docs:
-                    end = doc + 1  # as many texts as stay below OUT_IDS words, one at least
-                    while end < docs and upto[end + 1] - upto[doc] <= OUT_IDS:
+                    end = doc + 1  # as many texts as stay below OUT_WORDS words, one at least
+                    while end < docs and upto[end + 1] - upto[doc] <= OUT_WORDS:
                         end += 1
                     mine = places[upto[doc]:upto[end]]
                     size = n_ids[mine]
@@ -226,11 +256,15 @@ def decode(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", result: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = table.value.__getitem__
         for batch in batches:
-            lists = batch.column(batch.schema.get_field_index(ids))
-            flat, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(
-                np.nan_to_num(pc.list_value_length(lists).to_numpy(zero_copy_only=False)).astype(np.int64))
-            texts = [b"".join(map(token, flat[a:b].tolist())) for a, b in zip([0, *ends[:-1]], ends)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], [*batch.schema.names, result])
+            column, texts, held, first = batch.schema.get_field_index(ids), [], 0, 0
+            for at in range(batch.num_rows):
+                found = batch.column(column)[at].values
+                texts.append(b"".join(map(token, found.to_numpy(zero_copy_only=False).tolist() if found is not None else ())))
+                held += len(texts[-1])
+                if held >= OUT_BYTES or at == batch.num_rows - 1:
+                    part = batch.slice(first, len(texts))
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], [*part.schema.names, result])
+                    texts, held, first = [], 0, at + 1
 
     schema = df.select(*[F.col(f"`{c}`") for c in kept]).schema.add(result, "binary")
     return df.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, schema)

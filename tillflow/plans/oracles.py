@@ -291,6 +291,7 @@ SELECT customer_id, count(DISTINCT CASE WHEN category = 'milk' THEN product_id E
 FROM ({_LINES}) GROUP BY customer_id""",
         "distinct_stores": f"SELECT customer_id, count(DISTINCT store_id) AS distinct_stores FROM ({_LINES}) GROUP BY customer_id",
         "features_as_coded": _features("min", False),
+        "features_from_documents": f"SELECT * REPLACE ('cus-' || customer_id AS customer_id) FROM ({_features('min', False)})",
         "features_windowed": _features("max", True),
         "features_item_weighted": f"""
 SELECT customer_id, {_bit("avg(total_amount) > 300000", "bulk_buyer")}, {_bit("avg(total_amount) < 150000", "low_cost_buyer")},

@@ -22,7 +22,7 @@ from tillflow.operators import masking as docmask
 from tillflow.operators.items import enrich_items, explode_items
 from tillflow.operators.parse import parse, quarantine
 from tillflow.operators.upsert import upsert
-from tillflow.plans import star
+from tillflow.plans import jobs, star
 from tillflow.schemas import DOCUMENTS, ENTITIES, RAW
 from tillflow.session import shared_dir
 from tillflow.sinks.csv import export_csv
@@ -145,6 +145,15 @@ def features_item_weighted(spark, sf_dir):
     ).select("customer_id", "bulk_buyer", "low_cost_buyer", "buys_bakery"))
 
 
+def features_from_documents(spark, sf_dir):
+    """Documents → typed purchases → items → products → features."""
+    typed = parse(star.raw(star.full_purchase_documents(spark, sf_dir), "purchases"), "purchases",
+                  ("purchase_id", "customer_id", "total_amount", "purchase_datetime", "items_json"))
+    products = star.products(spark, sf_dir).select(
+        F.concat(F.lit("prd-"), F.col("product_id").cast("string")).alias("product_id"), "category")
+    return shown(jobs.feature_table(typed, products, as_of=star.AS_OF, **THRESHOLDS))
+
+
 def feature_vegetarian(spark, sf_dir):
     return shown(feat.category_flags(star.feature_lines(spark, sf_dir), [feat.VEGETARIAN]))
 
@@ -511,6 +520,7 @@ QUERIES: dict[str, Query] = {
     "features_as_coded": features_as_coded,
     "features_windowed": features_windowed,
     "features_item_weighted": features_item_weighted,
+    "features_from_documents": features_from_documents,
     "feature_vegetarian": feature_vegetarian,
     "feature_profile": feature_profile,
     "items_enriched": items_enriched,

@@ -272,6 +272,21 @@ def purchase_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def full_purchase_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchase documents with their own order lines as items; an order has a handful of lines."""
+    item = F.struct(
+        F.concat(F.lit("prd-"), _text(F.col("l_partkey"))).alias("product_id"),
+        F.col("l_quantity").cast("bigint").alias("quantity"), F.col("l_extendedprice").alias("total_price"))
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.collect_list(item).alias("items"))
+    return table(spark, sf_dir, "orders").join(lines, "o_orderkey", "left").select(
+        F.concat(F.lit("ord-"), _text(F.col("o_orderkey"))).alias("purchase_id"),
+        F.struct(F.concat(F.lit("cus-"), _text(F.col("o_custkey"))).alias("customer_id")).alias("customer"),
+        F.struct(F.col("o_orderpriority").alias("store_id")).alias("store"),
+        "items", F.col("o_totalprice").alias("total_amount"), _payment().alias("payment_method"),
+        _delivered().alias("is_delivery"), _iso(F.col("o_orderdate")).alias("purchase_datetime"), F.lit(0).alias("delivery"))
+
+
 def item_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One purchase document per order line; a line of more than 25 pieces is split over two items."""
     line = F.col("l_linenumber")

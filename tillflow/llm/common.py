@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,10 +45,3 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
-
-
-def in_steps(df: DataFrame, *steps: Callable[[DataFrame], dict[str, Column]]) -> DataFrame:
-    """``withColumns`` per step, so that each step's values are computed once and then referred to."""
-    for step in steps:
-        df = df.withColumns(step(df))
-    return df

@@ -118,8 +118,9 @@ def trigram_query(pattern: str) -> list[frozenset[str]]:
 def postings(texts: DataFrame, key: str, text: str, grams: list[str]) -> DataFrame:
     """The inverted index, restricted to the trigrams that some rule asks for: (trigram, key)."""
     listed = F.array(*[F.lit(g) for g in grams])
-    low = texts.select(key, F.lower(text).alias("low"))
-    held = low.select(key, F.filter(listed, lambda g: F.contains(F.col("low"), g)).alias("grams"))
+    # The lower-cased text is the one element of an outer array: bound there, it is not made anew for every trigram.
+    held = texts.select(key, F.flatten(F.transform(F.array(F.lower(text)), lambda low: F.filter(
+        listed, lambda g: F.contains(low, g)))).alias("grams"))
     return held.select(F.explode("grams").alias("trigram"), key)
 
 

@@ -76,3 +76,12 @@ def test_folding_and_exceptions():
     matcher = toxicity.Matcher({" trash ": 5.0, " tras": 4.0}, ("trash can",))
     assert matcher.measures("a trash can")[1] == 0 and matcher.measures("a trash heap")[1] > 0
     assert matcher.measures("trash " * 10)[2] == pytest.approx(np.log1p(10))
+
+
+def test_an_id_with_many_texts_gives_one_of_them(spark):
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(60)], LABELS)
+    chosen = learning.sample(docs(spark, [f"text {i}" for i in range(60)]), labels, "toxic").count()
+    hot = next(i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1)
+    texts, ids = [f"text {i}" for i in range(60)] + [f"hot {i}" for i in range(500)], [*range(60), *[hot] * 500]
+    a, b = (sorted(learning.sample(docs(spark, texts, ids).repartition(n), labels, "toxic").collect()) for n in (1, 7))
+    assert a == b and len(a) == chosen

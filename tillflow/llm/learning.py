@@ -22,14 +22,16 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, id: str = "doc_id", t
            rows: int = SAMPLE_ROWS) -> DataFrame:
     """(whole, label int, half int) of at most ``rows`` labelled rows outside the held-out fold.
 
-    Rows without id or label are not used; of repeated labels of an id the larger counts.
+    Rows without id or label are not used; of repeated labels of an id the larger counts, of its texts the one with
+    the smallest hash.
     """
     usable = labels.where(~held_out(id)).where(F.col(label).isNotNull()).groupBy(F.col(f"`{id}`").alias("id")).agg(
         F.max(label).cast("int").alias("label"))
     chosen = usable.orderBy(F.xxhash64("id"), "id").limit(rows).withColumn("half", F.pmod(F.xxhash64("id"), F.lit(2)))
     texts = docs.select(F.col(f"`{id}`").alias("id"), text_of(text).alias("whole"))
     # At most ``rows`` rows of three numbers.
-    return texts.join(F.broadcast(chosen), "id").select("whole", "label", "half")
+    return texts.join(F.broadcast(chosen), "id").groupBy("id", "label", "half").agg(
+        F.min(F.struct(F.xxhash64("whole").alias("hash"), "whole")).alias("t")).select("t.whole", "label", "half")
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

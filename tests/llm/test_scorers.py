@@ -85,3 +85,10 @@ def test_an_id_with_many_texts_gives_one_of_them(spark):
     texts, ids = [f"text {i}" for i in range(60)] + [f"hot {i}" for i in range(500)], [*range(60), *[hot] * 500]
     a, b = (sorted(learning.sample(docs(spark, texts, ids).repartition(n), labels, "toxic").collect()) for n in (1, 7))
     assert a == b and len(a) == chosen
+
+
+def test_folding_of_long_runs_word_ends_and_l():
+    for text, word in (("a$$", "ass"), ("4$$hole", "asshole"), ("garb4g3", "garbage"), ("1d107", "idiot"), ("idi07", "idiot"),
+                       ("1oser", "loser"), ("LO5ER", "loser"), ("1diot!", "idiot"), ("a$$$$h0le", "asssshole")):
+        assert toxicity.fold(f"an {text}, here").split() == toxicity.fold(f"an {word} here").split(), text
+    assert toxicity.fold("b2 a1 in 2024 x5. stop!!!you idiot!!!").split() == ["b2", "a1", "in", "2024", "x5", "stop", "you", "idiot"]

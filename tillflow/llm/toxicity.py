@@ -1,7 +1,7 @@
 """Toxicity by a weighted lexicon that one Aho-Corasick pass matches on folded text.
 
-Folding lowers case, maps look-alike letters to Latin ones and digits or signs inside words to the letters they
-stand for. The lexicon holds words and beginnings of words with their log odds in labelled texts. The weights of
+Folding lowers case, maps look-alike letters to Latin ones and digits or signs beside letters to the letters they
+stand for; 1, i and l are one letter. The lexicon holds words and beginnings of words with their log odds in labelled texts. The weights of
 the matched words, those inside an exception phrase left out, are summed and divided by the length of the text; a
 logistic fit turns that into a score.
 
@@ -29,8 +29,11 @@ from tillflow.llm.learning import SAMPLE_ROWS, logistic_fit, sample, sigmoid
 # Letters that look like Latin ones, and signs that stand for letters inside words.
 HOMOGLYPHS = str.maketrans("аеорсухікмнтвԁӏοαειν", "aeopcyxikmhtbdioaeiv")
 SUBSTITUTES = str.maketrans("013457@$!", "oieastasi")
-_INSIDE = re.compile(r"(?<![^\W_])[013457@$]{1,2}(?=[^\W\d_])|(?<=[^\W\d_])[013457@$!]{1,2}(?=[^\W\d_])")
-_SPACES = str.maketrans({c: " " for c in map(chr, range(128)) if not c.isalnum()})
+# Runs of them before, between and after letters. Exclamation marks end words and, three or more, part them; one digit
+# after a single letter is a label, as in "a1".
+_INSIDE = re.compile(r"(?<![^\W_])[013457@$]+(?=[^\W\d_])|(?<=[^\W\d_])(?!!{3,}[^\W\d_])[013457@$!]+(?=[^\W\d_])"
+                     r"|(?<=[^\W\d_])(?!(?<![^\W_].)[0-9](?![^\W_]|[@$]))[013457@$]+(?![^\W_]|[@$])", re.DOTALL)
+_SPACES = str.maketrans({"l": "i", **{c: " " for c in map(chr, range(128)) if not c.isalnum()}})
 # Phrases whose lexicon words are meant otherwise; an argument of the operator.
 EXCEPTIONS = ("trash can", "trash bin", "garbage collection", "stupid question", "class clown", "sore loser award")
 
@@ -45,7 +48,7 @@ LENGTH_OFFSET = 20
 
 
 def fold(text: str) -> str:
-    """Lower case, look-alikes and substitutes resolved, everything but letters and digits a space."""
+    """Lower case, look-alikes and substitutes resolved, l as i, everything but letters and digits a space."""
     low = text.lower()
     if not low.isascii():
         low = low.translate(HOMOGLYPHS)

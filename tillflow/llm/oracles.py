@@ -107,9 +107,46 @@ SELECT d.doc_id, CAST(coalesce(octet_length(encode(d.text)), 0) + 8 AS BIGINT) A
        row_number() OVER (PARTITION BY s ORDER BY d.doc_id % 1009, d.doc_id) - 1 AS slot, CAST(g AS INTEGER) AS grown_shard
 FROM documents d JOIN crc ON d.doc_id = crc.doc_id JOIN jump ON d.doc_id = jump.doc_id WHERE j >= 25"""
 
+# Trees level by level, then every row's way up with the sibling of its node; groups and the tree over them alike.
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE octet_length(encode(CAST({0} AS VARCHAR))) || ':' || {0} END"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "{n}", "text")) + ")"
+_CHECKSUM_OF_ID = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+    regexp_extract_all(hex(encode(CAST(doc_id AS VARCHAR))), '..'), lambda h: CAST('0x' || h AS BIGINT))),
+    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), CAST(4294967295 AS BIGINT))"""
+_UP = """SELECT {keys}, lvl + 1 AS lvl, pos // 2 AS pos, sha256(string_agg(node, '' ORDER BY pos)) AS node
+  FROM (SELECT *, count(*) OVER (PARTITION BY {group}) AS n FROM {nodes}) WHERE n > 1 GROUP BY {keys}, lvl, pos // 2"""
+_WAY = """SELECT w.doc_id, w.lang, w.leaf, w.lvl + 1 AS lvl, w.pos // 2 AS pos,
+  sha256(CASE WHEN s.node IS NULL THEN w.node WHEN w.pos % 2 = 1 THEN s.node || w.node ELSE w.node || s.node END) AS node,
+  w.proof || coalesce(s.node, '') AS proof
+  FROM {way} w JOIN {heights} h ON {on_height} LEFT JOIN {nodes} s ON {on_node} s.lvl = w.lvl AND s.pos = xor(w.pos, 1) WHERE w.lvl < h.height"""
+_MERKLE = f"""
+WITH RECURSIVE rem AS (
+  SELECT i, CAST(i AS BIGINT) AS c, 0 AS n FROM range(256) r(i) UNION ALL
+  SELECT i, CASE WHEN c & 1 = 1 THEN xor(CAST(3988292384 AS BIGINT), c >> 1) ELSE c >> 1 END, n + 1 FROM rem WHERE n < 8),
+tab AS (SELECT list(c ORDER BY i) AS t FROM rem WHERE n = 8),
+docs AS (SELECT doc_id, coalesce('+' || lang, '') AS lang, {_LEAF.replace('{n}', 'n_chars')} AS leaf,
+  CASE WHEN {_CHECKSUM_OF_ID} % 7 = 0 THEN {_LEAF.replace('{n}', '(n_chars + 1)')} ELSE {_LEAF.replace('{n}', 'n_chars')} END AS presented
+  FROM documents, tab),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM docs),
+nodes AS (SELECT lang, 0 AS lvl, pos, leaf AS node FROM leaves UNION ALL
+  {_UP.format(keys="lang", group="lang", nodes="nodes")}),
+heights AS (SELECT lang, max(lvl) AS height FROM nodes GROUP BY lang),
+subroots AS (SELECT lang, node, row_number() OVER (ORDER BY encode(lang)) - 1 AS pos FROM nodes JOIN heights USING (lang) WHERE lvl = height),
+tops AS (SELECT 0 AS one, 0 AS lvl, pos, node FROM subroots UNION ALL {_UP.format(keys="one", group="one", nodes="tops")}),
+top AS (SELECT max(lvl) AS height FROM tops),
+ways AS (SELECT doc_id, lang, leaf, 0 AS lvl, pos, presented AS node, '' AS proof FROM leaves UNION ALL
+  {_WAY.format(way="ways", heights="heights", on_height="h.lang = w.lang", nodes="nodes", on_node="s.lang = w.lang AND")}),
+more AS (SELECT w.doc_id, w.lang, w.leaf, 0 AS lvl, s.pos, w.node, w.proof FROM ways w JOIN heights h ON h.lang = w.lang AND w.lvl = h.height
+  JOIN subroots s ON s.lang = w.lang UNION ALL
+  {_WAY.format(way="more", heights="top", on_height="TRUE", nodes="tops", on_node="")})
+SELECT m.doc_id, m.leaf, s.node AS subroot, r.node AS root, sha256(m.proof) AS proof_sha256, m.node AS folded_root,
+       m.node = r.node AS verified
+FROM more m JOIN top ON m.lvl = top.height JOIN subroots s ON s.lang = m.lang JOIN tops r ON r.lvl = top.height"""
+
 ORACLES: dict[str, str] = {
     "op1_pii": _digest(_PII, ["email", "ip", "card", "phone"], list(_PII)),
     "op4_secrets": _digest(_SECRETS, ["assign", "access", "hex"], ["assign", "access", "hex"]),
     "op7_decontamination": _DECONTAMINATION,
     "op10_sharding": _SHARDING,
+    "op13_merkle": _MERKLE,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import bpe, minhash, pii, secrets, sharding, substrings, syncmers
+from tillflow.llm import bpe, merkle, minhash, pii, secrets, sharding, substrings, syncmers
 from tillflow.llm import decontaminate as decon
 from tillflow.llm import quality as ranking
 from tillflow.llm import toxicity as lexical
@@ -88,6 +88,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    tampered = F.when(F.coalesce(chosen, F.lit(False)), F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    presented = merkle.leaf_hash(*[tampered if c == "n_chars" else F.col(c) for c in merkle.FIELDS])
+    return merkle.proofs(docs, presented=presented).drop("path")
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_syncmers": op2_syncmers,
@@ -99,4 +107,5 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_bpe": op9_bpe,
     "op10_sharding": op10_sharding,
+    "op13_merkle": op13_merkle,
 }

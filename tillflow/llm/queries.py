@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import bpe, merkle, minhash, pii, secrets, sharding, substrings, syncmers
+from tillflow.llm import bpe, merkle, minhash, pii, secrets, sharding, substrings, syncmers, whitening
 from tillflow.llm import decontaminate as decon
 from tillflow.llm import quality as ranking
 from tillflow.llm import toxicity as lexical
@@ -88,6 +88,15 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    out = whitening.whiten(vectors)
+    each = out.select("*", F.posexplode(F.arrays_zip("white", "shares")).alias("place", "c"))
+    return each.select(
+        F.col("id").alias("vec_id"), (F.col("place") + 1).alias("component"), "n", "deviation",
+        F.col("c.white").alias("whitened"), F.col("c.shares").alias("explained"), "identity_error")
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
     chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
@@ -107,5 +116,6 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_bpe": op9_bpe,
     "op10_sharding": op10_sharding,
+    "op11_whitening": op11_whitening,
     "op13_merkle": op13_merkle,
 }

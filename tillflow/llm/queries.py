@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import bpe, merkle, minhash, pii, secrets, sharding, substrings, syncmers, whitening
+from tillflow.llm import bpe, merkle, minhash, mixing, pii, secrets, sharding, substrings, syncmers, whitening
 from tillflow.llm import decontaminate as decon
 from tillflow.llm import quality as ranking
 from tillflow.llm import toxicity as lexical
@@ -97,6 +97,11 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c.white").alias("whitened"), F.col("c.shares").alias("explained"), "identity_error")
 
 
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return mixing.score_texts(docs).withColumnRenamed("id", "doc_id")
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
     chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
@@ -117,5 +122,6 @@ QUERIES = {
     "op9_bpe": op9_bpe,
     "op10_sharding": op10_sharding,
     "op11_whitening": op11_whitening,
+    "op12_mixing": op12_mixing,
     "op13_merkle": op13_merkle,
 }

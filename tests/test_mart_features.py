@@ -101,27 +101,6 @@ def test_empty_input_gives_an_empty_mart_with_its_schema(spark, purchases, custo
     assert mart.customer_mart(purchases, customers.limit(0), as_of=NOW).count() == 2
 
 
-def test_mart_delta_equals_recomputing(spark):
-    stamped = SCHEMA + ", ins_ts timestamp"
-    old = [("o1", "a", "s1", 1.0, "cash", 0, t(1), t(1)), ("o2", "b", "s1", 2.0, "cash", 0, t(1), t(1)),
-           ("o3", "c", "s1", 4.0, "cash", 0, t(1), t(1))]
-    new = [("o1", "d", "s1", 1.0, "cash", 0, t(1), t(2)),    # moves from a to d; a is left without purchases
-           ("o4", "b", "s2", 8.0, "card", 1, t(2), t(2))]
-    changed = spark.createDataFrame(new, stamped)
-    everything = spark.createDataFrame(old + new, stamped)
-    who = spark.createDataFrame([("b", datetime(2025, 1, 30), 1, t(1))],
-                                "customer_id string, registration_date timestamp, is_loyalty_member int, ins_ts timestamp")
-    affected = mart.affected_customers(changed, who.limit(0), everything)
-    delta = mart.mart_delta(affected, everything, who, as_of=NOW)
-    assert rows(delta, "customer_id", "purchase_count", "total_spent", "new_customer") == [
-        ("a", None, None, None), ("b", 2, 10.0, 1), ("d", 1, 1.0, 0)]
-    # Later only the former owner is touched: the purchase that moved away must not come back.
-    again = spark.createDataFrame([("o9", "a", "s1", 3.0, "cash", 0, t(3), t(3))], stamped)
-    later = everything.unionByName(again)
-    affected = mart.affected_customers(again, who.limit(0), later)
-    assert rows(mart.mart_delta(affected, later, who, as_of=NOW), "customer_id", "purchase_count", "total_spent") == [("a", 1, 3.0)]
-
-
 # --- features -------------------------------------------------------------------------------------
 
 

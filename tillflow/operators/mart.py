@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from tillflow.functions import lenient
 from tillflow.functions.clock import AsOf, as_of_like, days_before, start_of_day
-from tillflow.operators.dedup import keep_first, keep_latest
+from tillflow.operators.dedup import keep_first
 from tillflow.operators.joins import fan_out_left_join
 from tillflow.schemas import MART_COLUMNS
 
@@ -94,7 +94,8 @@ def _loyalty(df: DataFrame) -> Column:
     return F.coalesce(flag.cast("int"), F.lit(0)).alias("is_loyalty_member")
 
 
-def _customers_ready(customers: DataFrame) -> DataFrame:
+def customer_records(customers: DataFrame) -> DataFrame:
+    """What the mart takes from customers: id, registration and loyalty flag, in their types."""
     df = with_defaults(
         customers,
         {"registration_date": F.lit(None).cast("timestamp"), "is_loyalty_member": F.lit(0)},
@@ -124,7 +125,7 @@ def _finish(totals: DataFrame, joined: DataFrame, is_new: Column) -> DataFrame:
 def customer_mart(purchases: DataFrame, customers: DataFrame, *, as_of: AsOf = None) -> DataFrame:
     """Tolerant definition; new means registered less than 30 whole days of 24 h before ``as_of``."""
     totals = customer_agg(purchases)
-    known = keep_first(_customers_ready(customers), ["customer_id"], ["registration_date"])
+    known = keep_first(customer_records(customers), ["customer_id"], ["registration_date"])
     joined = totals.join(known, ["customer_id"], "left")
     return _finish(totals, joined, registered_lately(known, as_of))
 
@@ -142,33 +143,3 @@ def customer_mart_sql(purchases: DataFrame, customers: DataFrame, *, as_of: AsOf
     today = start_of_day(as_of_like(known, "registration_date", as_of))
     is_new = F.datediff(today, F.to_date("registration_date")) < NEW_CUSTOMER_DAYS
     return _finish(totals, joined, is_new)
-
-
-def affected_customers(changed_purchases: DataFrame, changed_customers: DataFrame, purchases: DataFrame) -> DataFrame:
-    """Customers whose mart row a batch makes stale: those it names, and the former owners of
-    purchases it sends again. ``purchases`` is the history including the batch, repeats and all.
-    """
-    resent = changed_purchases.select("purchase_id").distinct()
-    former = purchases.select("purchase_id", "customer_id").join(resent, "purchase_id", "left_semi")
-    return (
-        changed_purchases.select("customer_id")
-        .unionByName(changed_customers.select("customer_id"))
-        .unionByName(former.select("customer_id"))
-        .dropna()
-        .distinct()
-    )
-
-
-def mart_delta(affected: DataFrame, purchases: DataFrame, customers: DataFrame, *, as_of: AsOf = None,
-               latest_by: tuple[str, ...] = ("ins_ts",)) -> DataFrame:
-    """Mart rows of the affected customers, computed anew from the whole history.
-
-    A purchase that ever belonged to one of them is judged by its last delivery, whoever owns it
-    now. A customer left without purchases comes back with ``purchase_count`` NULL: remove the row.
-    """
-    touched = purchases.select("purchase_id", "customer_id").join(affected, "customer_id", "left_semi")
-    deliveries = purchases.join(touched.select("purchase_id"), "purchase_id", "left_semi")
-    last = keep_latest(deliveries, ["purchase_id"], latest_by)
-    theirs = last.join(affected, "customer_id", "left_semi")
-    who = keep_latest(customers.join(affected, "customer_id", "left_semi"), ["customer_id"], latest_by)
-    return affected.join(customer_mart(theirs, who, as_of=as_of), "customer_id", "left")

@@ -249,10 +249,10 @@ SELECT '{entity}' AS entity, reason, count(*) AS rows FROM (SELECT CASE {whens}
 WHERE reason IS NOT NULL GROUP BY reason"""
 
 
-def _stream_mart() -> str:
+def _stream_mart(customer: str = "customer_id", store: str = "store_id") -> str:
     purchases = f"""
-SELECT purchase_id, customer_id, store_id, total_amount, lower(payment_method) AS payment_method, is_delivery,
-       purchase_datetime FROM ({_last(_PURCHASE_DOCS, _GOOD_PURCHASES)})"""
+SELECT purchase_id, {customer} AS customer_id, {store} AS store_id, total_amount, lower(payment_method) AS payment_method,
+       is_delivery, purchase_datetime FROM ({_last(_PURCHASE_DOCS, _GOOD_PURCHASES)})"""
     customers = f"""
 SELECT customer_id, registration_date, is_loyalty_member FROM ({_last(_CUSTOMER_DOCS, _GOOD_CUSTOMERS)})"""
     return _mart(_totals(purchases, 'count(purchase_id)', 'total_amount'), customers, _ELAPSED)
@@ -385,9 +385,10 @@ FROM ({_PURCHASE_DOCS}) WHERE {_GOOD_PURCHASES}""",
         "table_fallback": """
 SELECT 'purchases' AS entity, count(*) AS rows FROM orders UNION ALL SELECT 'customers', count(*) FROM customer""",
         "mart_defaults": _mart(
-            _totals(f"""SELECT * REPLACE (CASE WHEN purchase_id % 13 = 0 THEN 0 ELSE total_amount END AS total_amount,
+            _totals(f"""SELECT * REPLACE (CASE WHEN customer_id % 3 = 0 THEN -customer_id - 1 ELSE customer_id END AS customer_id,
+                        CASE WHEN purchase_id % 13 = 0 THEN 0 ELSE total_amount END AS total_amount,
                         '' AS payment_method, 0 AS is_delivery) FROM ({_PURCHASES})""", "count(*)", "total_amount"),
-            f"SELECT * FROM ({_CUSTOMERS}) WHERE customer_id % 3 <> 0", _ELAPSED),
+            _CUSTOMERS, _ELAPSED),
         "best_effort_times": """
 SELECT o_orderkey AS purchase_id, CASE WHEN o_orderkey % 11 <> 10 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS at
 FROM orders""",
@@ -445,6 +446,9 @@ FROM customer, {_D} WHERE d = 0 OR c_custkey % 10 = 0""",
         "stream_ingest_clean": ingested,
         "stream_compacted": ingested,
         "stream_mart_refresh": _stream_mart(),
+        "stream_mart_states": _stream_mart(
+            "CASE WHEN k % 30 = 0 THEN 'cus-' || (CAST(substr(customer_id, 5) AS BIGINT) + 1) ELSE customer_id END",
+            "CASE WHEN k % 30 = 0 THEN '0-MOVED' ELSE store_id END"),
         "stream_redelivery_dedup": "SELECT event_id, user_id FROM events",
         "stream_trend_by_day": """
 SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, count(*) AS purchases, round(sum(o_totalprice), 2) AS revenue

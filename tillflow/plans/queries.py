@@ -34,6 +34,8 @@ from tillflow.sources.topics import peek, subscribe_files
 from tillflow.streaming.dedup import drop_redelivered
 from tillflow.streaming.ingest import compact, current, raw_records, start_ingest
 from tillflow.streaming.mart import current_mart, refresh_affected
+from tillflow.streaming.shelves import compact_shelf
+from tillflow.streaming.states import add_states, compact_states, mart_from_states
 from tillflow.streaming.trend import current_trend, start_trend
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -374,12 +376,11 @@ def table_fallback(spark, sf_dir):
 
 
 def mart_defaults(spark, sf_dir):
-    """The tolerant mart of purchases whose amounts are text and that lack two columns, stored without NULLs."""
+    """The tolerant mart of purchases whose amounts are text and that lack two columns, some of unknown buyers, stored without NULLs."""
     narrow = star.purchases(spark, sf_dir).select(
-        "customer_id", "purchase_id", "store_id", "purchase_datetime",
+        star.lost(F.col("customer_id"), 3).alias("customer_id"), "purchase_id", "store_id", "purchase_datetime",
         F.when(F.col("purchase_id") % 13 == 0, "n/a").otherwise(F.col("total_amount").cast("string")).alias("total_amount"))
-    known = star.customers(spark, sf_dir).where(F.col("customer_id") % 3 != 0)
-    return _mart(typed_defaults(mart.customer_mart(narrow, known, as_of=star.AS_OF)))
+    return _mart(typed_defaults(mart.customer_mart(narrow, star.customers(spark, sf_dir), as_of=star.AS_OF)))
 
 
 def best_effort_times(spark, sf_dir):
@@ -445,11 +446,11 @@ def mask_nested(spark, sf_dir):
 # --- streams: run to the end of the input, then read what they wrote -----------------------------------------
 
 
-def _stream_deliveries(spark, sf_dir, root, entities, after_batch=None):
+def _stream_deliveries(spark, sf_dir, root, entities, after_batch=None, **other_documents):
     """Publish the first deliveries and run the stream to their end, then the same for the second ones."""
     for delivery in (0, 1):
         for entity in entities:
-            sent = _DOCUMENTS[entity](spark, sf_dir).where(F.col("delivery") == delivery).drop("delivery")
+            sent = {**_DOCUMENTS, **other_documents}[entity](spark, sf_dir).where(F.col("delivery") == delivery).drop("delivery")
             messages = to_messages(docmask.mask_documents(sent, star.DEMO_KEY), entity)
             publish_files(messages, f"{root}/topics")
         stream = subscribe_files(spark, f"{root}/topics")
@@ -480,6 +481,20 @@ def stream_mart_refresh(spark, sf_dir):
     return _mart(current_mart(spark, root, as_of=star.AS_OF))
 
 
+def stream_mart_states(spark, sf_dir):
+    """The mart merged from states; between the deliveries states and shelf are compacted, then purchases move."""
+    root = work_dir(spark, "mart-states")
+
+    def add(session, batch_id):
+        add_states(session, batch_id, root)
+        if batch_id == 0:
+            compact_states(session, root)
+            compact_shelf(session, root)
+
+    _stream_deliveries(spark, sf_dir, root, ["customers", "purchases"], after_batch=add, purchases=star.moved_purchase_documents)
+    return _mart(mart_from_states(spark, root, as_of=star.AS_OF))
+
+
 def _orders_stream(spark, sf_dir):
     schema = star.table(spark, sf_dir, "orders").schema
     return spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(sf_dir)
@@ -560,6 +575,7 @@ QUERIES: dict[str, Query] = {
     "stream_ingest_clean": stream_ingest_clean,
     "stream_compacted": stream_compacted,
     "stream_mart_refresh": stream_mart_refresh,
+    "stream_mart_states": stream_mart_states,
     "stream_redelivery_dedup": stream_redelivery_dedup,
     "stream_trend_by_day": stream_trend_by_day,
 }

@@ -272,6 +272,16 @@ def purchase_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def moved_purchase_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchase documents whose second delivery names another customer and store in a third of the cases."""
+    key = F.substring_index("purchase_id", "-", -1).cast("bigint")
+    moved = (F.col("delivery") == 1) & (key % 30 == 0)
+    other = F.concat(F.lit("cus-"), _text(F.substring_index("customer.customer_id", "-", -1).cast("bigint") + 1))
+    return purchase_documents(spark, sf_dir).withColumns({
+        "customer": F.struct(F.when(moved, other).otherwise(F.col("customer.customer_id")).alias("customer_id")),
+        "store": F.struct(F.when(moved, "0-MOVED").otherwise(F.col("store.store_id")).alias("store_id"))})
+
+
 def full_purchase_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchase documents with their own order lines as items; an order has a handful of lines."""
     item = F.struct(

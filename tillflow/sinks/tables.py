@@ -51,19 +51,25 @@ def typed_defaults(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return df.fillna(filled)
 
 
-def refresh_folder(df: DataFrame, root: str, version: str, *, sort_by: Sequence[str] = ()) -> str:
-    """Full refresh of a folder table: write a new version beside the old ones and return its path.
+def publish_version(df: DataFrame, root: str, version: str, *, sort_by: Sequence[str] = (),
+                    partition_by: Sequence[str] = ()) -> str:
+    """Write a version of a folder table beside the old ones and return its name.
 
     The version is published by one small row only after its data is complete, so readers never
     see a half-written table. Versions are ordered as text. ``sort_by`` sorts inside each task's
     file, which gives row-group statistics without another shuffle.
     """
-    target = f"{root}/version={version}"
-    out = df.sortWithinPartitions(*sort_by) if sort_by else df
-    out.write.mode("overwrite").parquet(target)
+    out = df.repartition(*partition_by) if partition_by else df
+    out = out.sortWithinPartitions(*sort_by) if sort_by else out
+    out.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{root}/version={version}")
     note = df.sparkSession.range(1).select(F.lit(version).alias("version"))
     note.write.mode("append").parquet(f"{root}/published")
-    return target
+    return version
+
+
+def refresh_folder(df: DataFrame, root: str, version: str, *, sort_by: Sequence[str] = ()) -> str:
+    """Full refresh of a folder table: :func:`publish_version`, returning the version's path."""
+    return f"{root}/version={publish_version(df, root, version, sort_by=sort_by)}"
 
 
 def latest_version(spark: SparkSession, root: str) -> str | None:

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from tillflow.functions.clock import AsOf
 from tillflow.operators.dedup import keep_latest
-from tillflow.operators.mart import affected_customers, mart_delta, registered_lately
+from tillflow.operators.mart import customer_mart, registered_lately
 from tillflow.sinks.tables import read_batches, write_batch
-from tillflow.streaming.ingest import history
+from tillflow.streaming import shelves
+from tillflow.streaming.ingest import CLEAN_SCHEMA
 
 MART_SCHEMA = (
     "customer_id string, purchase_count bigint, total_spent double, avg_basket double, "
@@ -19,18 +20,38 @@ MART_SCHEMA = (
 )
 
 
-def refresh_affected(spark: SparkSession, batch_id: int, root: str, *, as_of: AsOf = None) -> str:
-    """Recompute the customers one batch touches and append their rows under its ``batch_id``."""
-    purchases = history(spark, root, "purchases").where(F.col("batch_id") <= batch_id)
-    customers = history(spark, root, "customers").where(F.col("batch_id") <= batch_id)
-    batch = F.col("batch_id") == batch_id
+CUSTOMERS = "customer_id string, registration_date timestamp, is_loyalty_member int, ins_ts timestamp, bucket int"
+
+
+def _file_customers(spark: SparkSession, batch_id: int, root: str, buckets: int) -> DataFrame:
+    """Put the batch's customers into buckets of their id; returns them."""
+    batch = read_batches(spark, f"{root}/clean/customers/batch_id={batch_id}", CLEAN_SCHEMA["customers"])
+    rows = batch.select("customer_id", "registration_date", "is_loyalty_member", "ins_ts",
+                        shelves.bucket_of(buckets, "customer_id").alias("bucket"))
+    folder = f"{shelves.shelf(root, buckets)}/customers/batches"
+    write_batch(rows.repartition("bucket"), folder, batch_id, ["bucket"])
+    return rows
+
+
+def refresh_affected(spark: SparkSession, batch_id: int, root: str, *, as_of: AsOf = None, buckets: int = shelves.BUCKETS) -> str:
+    """Recompute the customers one batch touches and append their rows under its ``batch_id``.
+
+    Touched are the customers it names and the former owners of purchases it sends again. Their purchases and records are
+    read from their buckets; all other history stays unread. A customer left without purchases gets a row without counts.
+    """
+    filed = shelves.file_purchases(spark, batch_id, root, buckets)
+    named = _file_customers(spark, batch_id, root, buckets)
+    touched = filed.select("customer_id").unionByName(filed.select(F.col("former").alias("customer_id"))).unionByName(
+        named.select("customer_id")).dropna().distinct()
     # Stored before use: it is needed several times, and its size is then known to the joins.
-    stored = write_batch(
-        affected_customers(purchases.where(batch), customers.where(batch), purchases), f"{root}/affected", batch_id
-    )
+    stored = write_batch(touched, f"{root}/affected", batch_id)
     affected = spark.read.schema("customer_id string").parquet(stored)
-    delta = mart_delta(affected, purchases, customers, as_of=as_of, latest_by=("ins_ts", "batch_id"))
-    return write_batch(delta, f"{root}/mart", batch_id)
+    theirs = shelves.purchases_in(spark, root, shelves.all_slices(affected), batch_id, buckets)
+    wanted = affected.withColumn("bucket", shelves.bucket_of(buckets, "customer_id"))
+    records = shelves.read_versioned(spark, f"{shelves.shelf(root, buckets)}/customers", CUSTOMERS, before=batch_id + 1)
+    who = keep_latest(shelves.in_buckets_of(records, wanted).join(wanted, ["bucket", "customer_id"], "left_semi"),
+                      ["customer_id"], ["ins_ts", "batch_id"])
+    return write_batch(affected.join(customer_mart(theirs, who, as_of=as_of), "customer_id", "left"), f"{root}/mart", batch_id)
 
 
 def current_mart(spark: SparkSession, root: str, *, as_of: AsOf = None) -> DataFrame:

@@ -110,12 +110,12 @@ def plain_score(layer, symbols):
             weights = layer.weights.astype(float).copy()
             for i in range(begin, min(begin + mixing.LANE, at + count)):
                 for bit in range(symbols.depths[i]):
-                    value = int(symbols.values[i])
-                    node = np.array([(1 << bit) | (value >> (layer.bits - bit))])
-                    one = value >> (layer.bits - 1 - bit) & 1
+                    value = symbols.values[i:i + 1]
+                    one = int(value[0]) >> (layer.bits - 1 - bit) & 1
                     inputs, seen = [], []
                     for j, table in enumerate(layer.tables):
-                        slot = layer.slots(j, None if j == 0 else symbols.contexts[j][i:i + 1], node)[0]
+                        context = None if j == 0 else symbols.contexts[j][i:i + 1]
+                        slot = int(layer.bases(j, bit // 4, context, value)[0] + layer.inner(bit, value)[0])
                         zeros, ones = int(table[2 * slot]), int(table[2 * slot + 1])
                         inputs.append(math.log((ones + 0.4) / (zeros + 0.4)))
                         seen.append(sum(zeros + ones >= k for k in (1, 3, 16)))
@@ -151,7 +151,7 @@ def test_probabilities_of_all_next_symbols_add_up_to_one():
     layer.tables = [draw.integers(0, 9, 2 << log).astype(np.uint16) for log in layer.logs]
     mixer, total = mixing.Mixer(layer), 0.0
     for value in range(256):
-        context = [None, *[np.full(1, k, np.uint64) for k in (5, 6, 7)]]
+        context = [None, *[np.full(1, k, np.uint64) for k in (5, 6)]]
         total += 10 ** mixer.run(mixing.Symbols(np.array([value]), np.array([8]), context, np.array([1])))[0]
     assert abs(total - 1) < 1e-4
 

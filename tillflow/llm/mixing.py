@@ -9,13 +9,13 @@ and closed by a space. The end of a text is a word too.
 1. Words of the training texts are counted over all of them (hashes of 64 bits). The head is sent to every task: the words
    from the smallest count on for which at most ``head`` words remain.
 2. For every bit the tasks count zeros and ones under several contexts: none, the last word, the last two words; within
-   spelled words the last one, two and three bytes. (context, bits so far) is hashed into tables whose size follows the number of training
+   spelled words the last byte, the last two. (context, bits so far) is hashed into tables whose size follows the number of training
    tokens up to ``slots``; the tables of all tasks are added up in rounds of bounded fan-in.
 3. A bit's probability is the squashed sum of the predictors' log odds, each times a weight. A gate picks the set of
    weights by how often the two longest contexts were seen. After each bit the weights move along the error. Texts are cut into
    lanes of ``LANE`` symbols that start with the same weights and run side by side.
 4. The first weights are the mean of those that the lanes of all training texts end with, each bit predicted there from
-   the counts without itself.
+   the counts without itself. Spelled words start from equal weights.
 5. Scoring adds the logarithms. Counts of words outside the head come from a join of their hashes with the word counts.
 
 The probabilities of all rows of events add up to at most one, those with spelled words of all texts too.
@@ -27,6 +27,7 @@ empty table gives no rows; a text of any length is scored whole; columns other t
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -38,14 +39,14 @@ from pyspark.sql import functions as F
 
 from tillflow.llm.common import text_of, written
 
-CODE_BITS = 12
+CODE_BITS = 7
 LANE = 256
 RATE = np.float32(0.015)
 ALPHA = np.float32(0.4)
 
 # Bounds of what is sent to every task; parameters of ``score_texts``.
 HEAD = 1 << 19
-SLOTS = 22
+SLOTS = 21
 
 # Text bytes that one task counts contexts for, that one step holds as arrays, and that are hashed at once.
 TASK_BYTES = 64 << 20
@@ -62,7 +63,7 @@ _ROOT = 0x2545F4914F6CDD1D
 _BYTES = np.random.default_rng(12).integers(1, 2**63, 256, dtype=np.uint64)
 _LOW = np.arange(256, dtype=np.uint8)
 _LOW[65:91] += 32
-_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
+_WORD = ~np.isin(np.arange(256), [32, *range(9, 14)])
 _CLOSE = 32
 
 
@@ -80,6 +81,11 @@ class Tokens:
     counts: np.ndarray
 
 
+@functools.lru_cache(maxsize=1)
+def _piece_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return _powers(n)
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     inverse = pow(_ROOT, -1, 2**64)
     return tuple(np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n, b, np.uint64)])) for b in (_ROOT, inverse))
@@ -93,23 +99,23 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 def _word_hashes(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of words: differences of one running polynomial, moved to a common power."""
     out, i = np.empty(len(starts), np.uint64), 0
-    up, down = _powers(PIECE_BYTES)
+    up, down = _piece_powers(PIECE_BYTES)
     while i < len(starts):
         j = max(i + 1, int(np.searchsorted(ends, starts[i] + PIECE_BYTES, "right")))
         first, last = int(starts[i]), int(ends[j - 1])
         if last - first > PIECE_BYTES:  # one word longer than a piece
             up, down = _powers(last - first)
         running = np.zeros(last - first + 1, np.uint64)
-        np.cumsum(_BYTES[low[first:last]] * up[:last - first], out=running[1:])
+        np.cumsum(_BYTES.take(low[first:last]) * up[:last - first], out=running[1:])
         s, e = starts[i:j] - first, ends[i:j] - first
-        out[i:j] = (running[e] - running[s]) * down[s]
+        out[i:j] = (running.take(e) - running.take(s)) * down.take(s)
         i = j
     return _mixed(out ^ ((ends - starts).astype(np.uint64) * _ODD))
 
 
 def tokens_of(data: np.ndarray, bounds: np.ndarray) -> Tokens:
     """Tokens of the texts ``data[bounds[i]:bounds[i + 1]]``."""
-    low, inside = _LOW[data], ~_SPACE[data]
+    low, inside = _LOW.take(data), _WORD.take(data)
     begins, closes = np.ones(len(data), bool), np.ones(len(data), bool)
     begins[1:], closes[:-1] = ~inside[:-1], ~inside[1:]
     begins[bounds[:-1][bounds[:-1] < len(data)]] = True
@@ -145,24 +151,37 @@ def _chunks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, Toke
 
 @dataclass
 class Layer:
-    """One kind of symbols: bits a symbol, log2 of the slots of each predictor's table (the first is without context)."""
+    """One kind of symbols: bits a symbol, log2 of the slots of each predictor's table (the first is without context).
+
+    Four bits of a symbol share a block of 16 slots, so a context is hashed once per block and not once per bit.
+    """
 
     bits: int
     logs: list[int]
     tables: list[np.ndarray] = field(default_factory=list)
     weights: np.ndarray | None = None
 
-    def slots(self, j: int, context: np.ndarray | None, node: np.ndarray) -> np.ndarray:
+    def bases(self, j: int, block: int, context: np.ndarray | None, values: np.ndarray) -> np.ndarray:
+        """First slots of the ``block``-th four bits of the symbols."""
+        before = (1 << (4 * block)) | (values >> (self.bits - 4 * block))
         if j == 0:
-            return node
-        mixed = ((context + node.astype(np.uint64) * _ODD) * _MIX)
-        return ((mixed ^ (mixed >> np.uint64(31))) * _ODD >> np.uint64(64 - self.logs[j])).astype(np.int64)
+            return (before << 4).astype(np.int32)
+        mixed = (context + before.astype(np.uint64) * _ODD) * _MIX
+        return (((mixed ^ (mixed >> np.uint64(31))) * _ODD >> np.uint64(68 - self.logs[j])) << np.uint64(4)).astype(np.int32)
+
+    def inner(self, bit: int, values: np.ndarray) -> np.ndarray:
+        """The place of a bit within its block: the bits of the block before it, after a leading one."""
+        k = bit % 4
+        return ((1 << k) | ((values >> (self.bits - bit)) & ((1 << k) - 1))).astype(np.int32)
+
+    def one(self, bit: int, values: np.ndarray) -> np.ndarray:
+        return ((values >> (self.bits - 1 - bit)) & 1).astype(np.int32)
 
 
 def layers(tokens: int, most: int) -> tuple[Layer, Layer]:
     """Words and spelled bytes; the tables grow with the training tokens up to ``2 ** most`` slots."""
     log = min(max(math.ceil(math.log2(max(tokens, 1))), 16), most)
-    return Layer(CODE_BITS + 1, [CODE_BITS + 1, log, log]), Layer(8, [8, min(17, log), min(20, log), min(20, log)])
+    return Layer(CODE_BITS + 1, [CODE_BITS + 5, log, log]), Layer(8, [12, min(17, log), min(20, log)])
 
 
 @dataclass
@@ -185,11 +204,11 @@ class Head:
     def places(self, hashes: np.ndarray) -> np.ndarray:
         """The place of each hash in the head, or -1."""
         top = (hashes >> np.uint64(44)).astype(np.int64)
-        at, end = self.index[top], self.index[top + 1]
+        at, end = self.index.take(top), self.index.take(top + 1)
         out, open_ = np.full(len(hashes), -1), np.flatnonzero(at < end)
         at = at[open_]
         while len(open_):
-            hit = self.hashes[at] == hashes[open_]
+            hit = self.hashes.take(at) == hashes.take(open_)
             out[open_[hit]] = at[hit]
             rest = ~hit & (at + 1 < end[open_])
             open_, at = open_[rest], at[rest] + 1
@@ -238,41 +257,42 @@ def spelled_symbols(tokens: Tokens, places: np.ndarray) -> Symbols:
     values = np.full(len(at), _CLOSE, np.int64)
     values[~closing] = tokens.data[at[~closing]]
     contexts, mixed = [None], np.zeros(len(at), np.uint64)
-    for by in (1, 2, 3):
+    for by in (1, 2):
         mixed = mixed * np.uint64(257) + _shifted(values, by, first, _CLOSE).astype(np.uint64) + np.uint64(1)
         contexts.append(mixed)
     return Symbols(values, np.full(len(at), 8), contexts, sizes)
 
 
-def _nodes(layer: Layer, values: np.ndarray, bit: int) -> np.ndarray:
-    return (1 << bit) | (values >> (layer.bits - bit))
-
-
 def count_bits(layer: Layer, symbols: Symbols, tables: list[np.ndarray]) -> None:
     """Add the zeros and ones of the symbols to the tables: entry ``2 * slot + bit``."""
-    for bit in range(layer.bits):
-        here = np.flatnonzero(symbols.depths > bit)
-        values = symbols.values[here]
-        node, one = _nodes(layer, values, bit), (values >> (layer.bits - 1 - bit)) & 1
-        for j, table in enumerate(tables):
-            context = symbols.contexts[j]
-            np.add.at(table, 2 * layer.slots(j, None if context is None else context[here], node) + one, 1)
+    for j, table in enumerate(tables):
+        events = []
+        for bit in range(layer.bits):
+            if bit % 4 == 0:
+                here = np.flatnonzero(symbols.depths > bit)
+                values, context = symbols.values[here], symbols.contexts[j]
+                base = layer.bases(j, bit // 4, None if context is None else context[here], values)
+            deep = slice(None) if bit % 4 == 0 else symbols.depths[here] > bit
+            events.append((2 * (base + layer.inner(bit, values)) + layer.one(bit, values))[deep])
+        table += np.bincount(np.concatenate(events), minlength=len(table)).astype(table.dtype)
+
+
+_LOGS = np.log(np.arange(1 << 16, dtype=np.float32) + ALPHA)
+_SEEN = np.digitize(np.arange(1 << 17), [1, 3, 16]).astype(np.int8)
+GATES = 32
+# Every layer has three predictors, and a constant as a fourth input.
+INPUTS, BIAS = 4, np.float32(0.3)
 
 
 class Mixer:
     """Runs lanes of symbols through a layer's predictors."""
 
     def __init__(self, layer: Layer, leave_out: bool = False):
-        self.layer, self.leave_out, self.predictors = layer, leave_out, len(layer.logs)
-        counts = [t.reshape(-1, 2).astype(np.float32) for t in layer.tables]
-        self.seen = [np.digitize(c.sum(axis=1), [1, 3, 16]).astype(np.uint8) for c in counts[-2:]]
-        self.counts = counts if leave_out else None
-        self.odds = None if leave_out else [np.log((c[:, 1] + ALPHA) / (c[:, 0] + ALPHA)) for c in counts]
-        self.gates = 32
-        if layer.weights is None:
-            layer.weights = np.full((self.gates, self.predictors + 1), 0.4, np.float32)
-        self.sums = np.zeros((self.gates, self.predictors + 1))
-        self.uses = np.zeros(self.gates)
+        self.layer, self.leave_out = layer, leave_out
+        # Zeros and ones of a slot as one number of 32 bits.
+        self.tables = [t.reshape(-1, 2).astype(np.uint16).view(np.uint32)[:, 0] for t in layer.tables]
+        self.start = layer.weights if layer.weights is not None else np.full((GATES, INPUTS), 0.4, np.float32)
+        self.sums, self.uses = np.zeros((GATES, INPUTS)), np.zeros(GATES)
 
     def run(self, symbols: Symbols) -> np.ndarray:
         """log10 of the probability of each text's symbols."""
@@ -282,60 +302,63 @@ class Mixer:
         start = (np.cumsum(symbols.counts) - symbols.counts)[text] + number * LANE
         length = np.minimum(symbols.counts[text] - number * LANE, LANE)
         out = np.zeros(len(lanes))
+        if not len(text):
+            return out
+        bases = [[self.layer.bases(j, block, symbols.contexts[j], symbols.values) for j in range(INPUTS - 1)]
+                 for block in range(self.layer.bits // 4)]
         for at in range(0, len(text), SIDE_BY_SIDE):
-            part = slice(at, at + SIDE_BY_SIDE)
-            order = np.argsort(-length[part], kind="stable")
-            logs = self._lanes(symbols, start[part][order], length[part][order])
-            np.add.at(out, text[part][order], logs)
+            order = at + np.argsort(-length[at:at + SIDE_BY_SIDE], kind="stable")
+            np.add.at(out, text[order], self._lanes(symbols, bases, start[order], length[order]))
         return out / math.log(10)
 
-    def _lanes(self, symbols: Symbols, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    def _lanes(self, symbols: Symbols, bases: list[list[np.ndarray]], start: np.ndarray, length: np.ndarray) -> np.ndarray:
         layer, n = self.layer, len(start)
-        # Weights of a lane lie side by side: place (gate * inputs + input) * lanes + lane.
-        inputs = self.predictors + 1
-        weights = np.repeat(layer.weights.reshape(-1), n)
-        uses = np.zeros((self.gates, n), np.float32)
-        logs, lane = np.zeros(n), np.arange(n)
-        for step in range(int(length.max(initial=0))):
+        weights, uses = np.repeat(self.start[None], n, axis=0).reshape(-1, INPUTS), np.zeros(n * GATES, np.float32)
+        rows = weights.view(np.complex128)[:, 0]  # the four weights of a set as one element, which moves faster
+        logs, every = np.zeros(n), np.arange(n)
+        for step in range(int(length[0])):
             active = int(np.searchsorted(-length, -step, "left"))
             at = start[:active] + step
-            all_values, depths = symbols.values[at], symbols.depths[at]
-            contexts = [c if c is None else c[at] for c in symbols.contexts]
+            depths = symbols.depths.take(at)
+            here, values = every[:active], symbols.values.take(at)
+            kept = np.ones(active)  # probability of the symbol's bits
             for bit in range(layer.bits):
-                here = lane[:active] if bit == 0 else np.flatnonzero(depths > bit)
-                if not len(here):
-                    break
-                values = all_values[here]
-                one = ((values >> (layer.bits - 1 - bit)) & 1).astype(np.float32)
-                node, odds, seen = _nodes(layer, values, bit), [], []
-                for j in range(self.predictors):
-                    slot = layer.slots(j, None if j == 0 else contexts[j][here], node)
+                if bit == 1:  # what is cut short after the first bit drops out; all others have all bits
+                    whole = np.flatnonzero(depths > 1)
+                    logs[:active] += np.log(kept)
+                    if not len(whole):
+                        break
+                    here, at, values, first = whole, at.take(whole), values.take(whole), [b.take(whole) for b in first]
+                    kept = np.ones(len(whole))
+                if bit % 4 == 0:
+                    first = [b.take(at) for b in bases[bit // 4]]
+                one, inner = layer.one(bit, values), layer.inner(bit, values)
+                inputs, place = [], here * GATES + (16 if bit == 0 else 0)
+                for j, table in enumerate(self.tables):
+                    both = table.take(first[j] + inner)
+                    zeros, ones = both & 0xFFFF, both >> 16
                     if self.leave_out:
-                        count = self.counts[j][slot]
-                        odds.append(np.log((np.maximum(count[:, 1] - one, 0) + ALPHA) / (
-                            np.maximum(count[:, 0] - 1 + one, 0) + ALPHA)))
-                        if j >= self.predictors - 2:
-                            seen.append(np.digitize(count[:, 0] + count[:, 1] - 1, [1, 3, 16]))
-                    else:
-                        odds.append(self.odds[j][slot])
-                        if j >= self.predictors - 2:
-                            seen.append(self.seen[j - self.predictors][slot])
-                gate = seen[0].astype(np.int64) + 4 * seen[1] + (16 if bit == 0 else 0)
-                odds.append(np.full(len(here), 0.3, np.float32))
-                place = gate * (inputs * n) + here
-                total = np.zeros(len(here), np.float32)
-                for j, x in enumerate(odds):
-                    total += weights[place + j * n] * x
-                p = 1 / (1 + np.exp(-np.clip(total, -12, 12)))
-                logs[here] += np.log(np.where(one == 1, p, 1 - p))
-                error = (one - p) * RATE
-                for j, x in enumerate(odds):
-                    weights[place + j * n] += error * x
+                        zeros, ones = zeros - ((one == 0) & (zeros > 0)), ones - ((one == 1) & (ones > 0))
+                    inputs.append(_LOGS.take(ones) - _LOGS.take(zeros))
+                    if j >= INPUTS - 3:
+                        place += _SEEN.take(zeros + ones) << (2 * (j - INPUTS + 3))
+                inputs.append(BIAS)
+                own = weights.take(place, axis=0)
+                total = sum(own[:, j] * x for j, x in enumerate(inputs))
+                error = one - 1 / (1 + np.exp(-np.clip(total, -12, 12)))
+                kept *= 1 - np.abs(error)
+                move = error.astype(np.float32) * RATE
+                for j, x in enumerate(inputs):
+                    own[:, j] += move * x
+                rows[place] = own.view(np.complex128)[:, 0]
                 if self.leave_out:
-                    uses[gate, here] += 1
+                    uses[place] += 1
+            else:
+                logs[here] += np.log(kept)
         if self.leave_out:
-            self.sums += (weights.reshape(self.gates, inputs, n) * uses[:, None, :]).sum(axis=2)
-            self.uses += uses.sum(axis=1)
+            uses = uses.reshape(n, GATES)
+            self.sums += np.einsum("lgi,lg->gi", weights.reshape(n, GATES, INPUTS), uses)
+            self.uses += uses.sum(axis=0)
         return logs
 
 
@@ -465,32 +488,27 @@ def context_counts(texts: DataFrame, head: Head, kinds: tuple[Layer, Layer]) ->
 def _ended_weights(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, kinds = shared.value
-        mixers = [Mixer(Layer(k.bits, k.logs, k.tables), leave_out=True) for k in kinds]
+        mixer = Mixer(kinds[0], leave_out=True)
         for batch in batches:
             for _, _, tokens in _chunks(batch, 0):
-                places = head.places(tokens.hashes)
-                mixers[0].run(word_symbols(tokens, places))
-                mixers[1].run(spelled_symbols(tokens, places))
-        values = np.concatenate([np.concatenate([m.sums.reshape(-1), m.uses]) for m in mixers])
+                mixer.run(word_symbols(tokens, head.places(tokens.hashes)))
+        values = np.concatenate([mixer.sums.reshape(-1), mixer.uses])
         yield pa.RecordBatch.from_pydict({"place": pa.array(range(len(values)), pa.int32()), "value": pa.array(values)})
 
     return run
 
 
-def first_weights(texts: DataFrame, head: Head, kinds: tuple[Layer, Layer]) -> None:
-    """Set both layers' weights to the mean of those that the lanes of all texts end with."""
-    shared = texts.sparkSession.sparkContext.broadcast((head, kinds))
+def first_weights(texts: DataFrame, head: Head, words: Layer) -> None:
+    """Set the weights of the words' layer to the mean of those that the lanes of all texts end with."""
+    shared = texts.sparkSession.sparkContext.broadcast((head, (words,)))
     rows = texts.mapInArrow(_ended_weights(shared), "place int, value double").groupBy("place").agg(
         F.sum("value").alias("value")).orderBy("place").collect()
-    values, at = np.array([r.value for r in rows]), 0
-    for kind in kinds:
-        start = Mixer(Layer(kind.bits, kind.logs, [np.zeros(2 << log, np.uint16) for log in (1,) * len(kind.logs)])).layer.weights
-        inputs = start.shape[1]
-        sums, uses = values[at:at + start.size].reshape(start.shape), values[at + start.size:at + start.size + len(start)]
-        at += start.size + len(start)
+    start = np.full((GATES, INPUTS), 0.4)
+    if rows:
+        values = np.array([r.value for r in rows])
+        sums, uses = values[:start.size].reshape(start.shape), values[start.size:]
         # A gate that was hardly used keeps what it started with.
-        kind.weights = ((sums + 100 * start) / (uses[:, None] + 100)).astype(np.float32)
-        assert kind.weights.shape[1] == inputs
+        words.weights = ((sums + 100 * start) / (uses[:, None] + 100)).astype(np.float32)
 
 
 _SCORED = ("id {0}, row long, n_tokens long, n_bytes long, known long, base double, score double, "
@@ -505,6 +523,10 @@ def _scored(shared, tokens_seen: int, distinct: int):
         for batch in batches:
             for at, n, tokens in _chunks(batch, 2):
                 places = head.places(tokens.hashes)
+                # Only held-out texts have words never seen, so only their rare words are spelled.
+                held = np.repeat(batch.column(4).slice(at, n).to_numpy(zero_copy_only=False), tokens.counts)
+                spelled = np.zeros((places < 0).sum())
+                spelled[held[places < 0]] = mixers[1].run(spelled_symbols(tokens, np.where(held, places, 0)))
                 text = np.repeat(np.arange(n), tokens.counts)
                 known = places >= 0
                 at_known, of_known = places[known], text[known]
@@ -513,7 +535,7 @@ def _scored(shared, tokens_seen: int, distinct: int):
                 rare = np.bincount(text[~known], minlength=n)
                 tail = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum(rare)]), pa.int32()), pa.StructArray.from_arrays(
-                        [pa.array(tokens.hashes[~known].view(np.int64)), pa.array(mixers[1].run(spelled_symbols(tokens, places)))],
+                        [pa.array(tokens.hashes[~known].view(np.int64)), pa.array(spelled)],
                         ["h", "spelled"]))
                 part = batch.slice(at, n)
                 yield pa.RecordBatch.from_arrays([
@@ -531,14 +553,14 @@ def score_texts(df: DataFrame, id: str = "doc_id", text: str = "text", head: int
     At most ``head`` words and tables of ``2 ** slots`` slots are sent to every task.
     """
     rows = df.select(F.col(f"`{id}`").alias("id"), F.monotonically_increasing_id().alias("row"), text_of(text).alias("text"),
-                     F.octet_length(text_of(text)).cast("long").alias("n_bytes"))
+                     F.octet_length(text_of(text)).cast("long").alias("n_bytes"), (~training_fold(id)).alias("held_out"))
     learned = rows.where(training_fold("id")).select("text")
     words = word_counts(learned)
     totals = words.agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.count_if(F.col("c") == 1).alias("once")).first()
     n, v = totals.n or 0, totals.v
     frequent_words, kinds = frequent(words, head), layers(n, slots)
     context_counts(learned, frequent_words, kinds)
-    first_weights(learned, frequent_words, kinds)
+    first_weights(learned, frequent_words, kinds[0])
     shared = df.sparkSession.sparkContext.broadcast((frequent_words, kinds))
     scored = written(rows.mapInArrow(_scored(shared, n, v), _SCORED.format(dict(df.dtypes)[id])), "scored")
     tail = scored.select("row", F.inline("tail")).groupBy("row", "h").agg(

@@ -258,6 +258,45 @@ SELECT customer_id, registration_date, is_loyalty_member FROM ({_last(_CUSTOMER_
     return _mart(_totals(purchases, 'count(purchase_id)', 'total_amount'), customers, _ELAPSED)
 
 
+_MOVED_CUSTOMER = "CASE WHEN k % 30 = 0 THEN 'cus-' || (CAST(substr(customer_id, 5) AS BIGINT) + 1) ELSE customer_id END"
+_MOVED_STORE = "CASE WHEN k % 30 = 0 THEN '0-MOVED' ELSE store_id END"
+
+
+def _panels() -> str:
+    return f"""
+WITH p AS (SELECT {_MOVED_CUSTOMER} AS customer_id, {_MOVED_STORE} AS store_id, total_amount,
+                  strftime(purchase_datetime, '%Y-%m-%d') AS day FROM ({_last(_PURCHASE_DOCS, _GOOD_PURCHASES)})),
+money AS (
+  SELECT 'total' AS panel, '' AS key, count(*) AS purchases, sum(total_amount) AS revenue FROM p UNION ALL
+  SELECT 'store', store_id, count(*), sum(total_amount) FROM p GROUP BY store_id UNION ALL
+  SELECT 'day', day, count(*), sum(total_amount) FROM p GROUP BY day)
+SELECT panel, key, purchases, round(revenue, 2) AS revenue, CAST(NULL AS BIGINT) AS active_days, CAST(NULL AS VARCHAR) AS last_day FROM money
+UNION ALL SELECT 'customer', customer_id, count(*), NULL, count(DISTINCT day), max(day) FROM p GROUP BY customer_id"""
+
+
+def _month_ends() -> str:
+    ends = ", ".join(f"(TIMESTAMP '1995-{m:02d}-{d} 00:00:00')"
+                     for m, d in enumerate((31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31), 1))
+
+    def within(days: int) -> str:
+        return f" AND purchase_datetime >= d - INTERVAL {days} DAY"
+
+    return f"""
+WITH ends AS (SELECT * FROM (VALUES {ends}) e(d)),
+p AS (SELECT customer_id, d, {_bit("count(*) > 2", "recurrent_buyer")}, {_bit("avg(total_amount) > 300000", "bulk_buyer")},
+        {_bit("avg(total_amount) < 150000", "low_cost_buyer")}, {_bit("max(purchase_datetime) > d", "active_today")},
+        {_bit("max(purchase_datetime) < d - INTERVAL 30 DAY", "inactive_30d")}
+      FROM ({_PURCHASES}) JOIN ends ON purchase_datetime <= d GROUP BY customer_id, d),
+f AS (SELECT customer_id, d, {_flag(f"category = 'milk'{within(30)}", "bought_milk_last_30d")},
+        {_flag(f"category = 'fruits'{within(14)}", "bought_fruits_last_14d")},
+        {_flag(f"category = 'veggies'{within(14)}", "not_bought_veggies_14d", negate=True)}, {_flag("category = 'bakery'", "buys_bakery")}
+      FROM ({_LINES}) JOIN ends ON purchase_datetime <= d GROUP BY customer_id, d)
+SELECT p.* EXCLUDE (d), {_time('p.d')} AS as_of, coalesce(bought_milk_last_30d, 0) AS bought_milk_last_30d,
+       coalesce(bought_fruits_last_14d, 0) AS bought_fruits_last_14d, coalesce(not_bought_veggies_14d, 1) AS not_bought_veggies_14d,
+       coalesce(buys_bakery, 0) AS buys_bakery
+FROM p LEFT JOIN f ON p.customer_id = f.customer_id AND p.d = f.d"""
+
+
 def oracle_sql() -> dict[str, str]:
     named = f"""
 SELECT s_suppkey AS store_id, s_name AS store_name, r_name AS region FROM supplier
@@ -328,10 +367,10 @@ FROM lineitem LEFT JOIN ({named}) ON l_suppkey = store_id GROUP BY l_suppkey""",
         "revenue_by_region": f"""
 SELECT region, count(*) AS purchases, round(sum(l_extendedprice), 2) AS revenue, count(DISTINCT l_suppkey) AS active_stores
 FROM lineitem LEFT JOIN ({named}) ON l_suppkey = store_id GROUP BY region""",
-        "top10_products": """
+        **dict.fromkeys(("top10_products", "top10_from_states"), """
 SELECT product_id, round(revenue, 2) AS revenue, units FROM (
   SELECT l_partkey AS product_id, sum(l_extendedprice) AS revenue, sum(l_quantity) AS units FROM lineitem GROUP BY l_partkey
-) ORDER BY revenue DESC, product_id LIMIT 10""",
+) ORDER BY revenue DESC, product_id LIMIT 10"""),
         "trend_by_day": """
 SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, count(*) AS purchases, round(sum(o_totalprice), 2) AS revenue
 FROM orders GROUP BY 1""",
@@ -389,6 +428,20 @@ SELECT 'purchases' AS entity, count(*) AS rows FROM orders UNION ALL SELECT 'cus
                         CASE WHEN purchase_id % 13 = 0 THEN 0 ELSE total_amount END AS total_amount,
                         '' AS payment_method, 0 AS is_delivery) FROM ({_PURCHASES})""", "count(*)", "total_amount"),
             _CUSTOMERS, _ELAPSED),
+        "features_month_ends": _month_ends(),
+        "baskets_copartitioned": """
+SELECT l_orderkey AS purchase_id, any_value(o_custkey) AS customer_id, count(*) AS lines,
+       round(sum(l_extendedprice), 2) AS items_total, max(o_totalprice) AS total_amount
+FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey GROUP BY l_orderkey""",
+        "distinct_buyers_sketch": f"""
+SELECT store_id, CAST(year(purchase_datetime) AS INTEGER) AS year, count(*) AS purchases,
+       count(DISTINCT customer_id) AS buyers, 1 AS within_bound FROM ({_PURCHASES}) GROUP BY 1, 2""",
+        "clustered_lookup": f"""
+SELECT asked, p.* REPLACE ({_time('purchase_datetime')} AS purchase_datetime) FROM ({_PURCHASES}) p
+JOIN (VALUES ('customers'), ('days'), ('purchases')) v(asked) ON CASE asked
+  WHEN 'customers' THEN customer_id BETWEEN 200 AND 260
+  WHEN 'days' THEN customer_id = 7 AND purchase_datetime BETWEEN TIMESTAMP '1993-01-01' AND TIMESTAMP '1996-12-31'
+  ELSE purchase_id IN (1, 77, 500, 1200) END""",
         "best_effort_times": """
 SELECT o_orderkey AS purchase_id, CASE WHEN o_orderkey % 11 <> 10 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS at
 FROM orders""",
@@ -446,9 +499,8 @@ FROM customer, {_D} WHERE d = 0 OR c_custkey % 10 = 0""",
         "stream_ingest_clean": ingested,
         "stream_compacted": ingested,
         "stream_mart_refresh": _stream_mart(),
-        "stream_mart_states": _stream_mart(
-            "CASE WHEN k % 30 = 0 THEN 'cus-' || (CAST(substr(customer_id, 5) AS BIGINT) + 1) ELSE customer_id END",
-            "CASE WHEN k % 30 = 0 THEN '0-MOVED' ELSE store_id END"),
+        "stream_mart_states": _stream_mart(_MOVED_CUSTOMER, _MOVED_STORE),
+        "stream_panels": _panels(),
         "stream_redelivery_dedup": "SELECT event_id, user_id FROM events",
         "stream_trend_by_day": """
 SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, count(*) AS purchases, round(sum(o_totalprice), 2) AS revenue

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from tillflow.functions.lenient import to_instant
 from tillflow.functions.masking import mask_value, normalize_phone
 from tillflow.operators import clean as cleaning
-from tillflow.operators import counting, dashboards, dedup, mart, quality
+from tillflow.operators import counting, dashboards, dedup, mart, quality, sketches
 from tillflow.operators import features as feat
 from tillflow.operators import masking as docmask
 from tillflow.operators.items import enrich_items, explode_items
@@ -25,16 +25,19 @@ from tillflow.operators.upsert import upsert
 from tillflow.plans import jobs, star
 from tillflow.schemas import DOCUMENTS, ENTITIES, RAW
 from tillflow.session import shared_dir
+from tillflow.sinks.bucketed import write_bucketed
+from tillflow.sinks.clustered import lookup, write_clustered
 from tillflow.sinks.csv import export_csv
-from tillflow.sinks.tables import read_latest, refresh_folder, refresh_table, stamped, typed_defaults, write_batch
+from tillflow.sinks.tables import read_batches, read_latest, refresh_folder, refresh_table, stamped, typed_defaults, write_batch
 from tillflow.sinks.topics import publish_files, texts_to_messages, to_messages
 from tillflow.sources.documents import readable, unreadable
 from tillflow.sources.tables import first_existing
 from tillflow.sources.topics import peek, subscribe_files
+from tillflow.streaming import panels
 from tillflow.streaming.dedup import drop_redelivered
 from tillflow.streaming.ingest import compact, current, raw_records, start_ingest
 from tillflow.streaming.mart import current_mart, refresh_affected
-from tillflow.streaming.shelves import compact_shelf
+from tillflow.streaming.shelves import compact_shelf, file_purchases
 from tillflow.streaming.states import add_states, compact_states, mart_from_states
 from tillflow.streaming.trend import current_trend, start_trend
 
@@ -156,6 +159,15 @@ def features_from_documents(spark, sf_dir):
     return shown(jobs.feature_table(typed, products, as_of=star.AS_OF, **THRESHOLDS))
 
 
+MONTH_ENDS = tuple(f"1995-{m:02d}-{d}" for m, d in enumerate((31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31), 1))
+
+
+def features_month_ends(spark, sf_dir):
+    """The windowed features as of twelve dates, in one pass."""
+    return shown(feat.features_at(
+        star.purchases(spark, sf_dir), star.feature_lines(spark, sf_dir), MONTH_ENDS, **THRESHOLDS))
+
+
 def feature_vegetarian(spark, sf_dir):
     return shown(feat.category_flags(star.feature_lines(spark, sf_dir), [feat.VEGETARIAN]))
 
@@ -192,6 +204,18 @@ def orphan_purchases(spark, sf_dir):
     return buyers.unionByName(lines)
 
 
+def baskets_copartitioned(spark, sf_dir):
+    """Lines and purchases stored in the same buckets of the purchase id, joined and summed up where they lie."""
+    root, name = work_dir(spark, "buckets"), f"b{uuid.uuid4().hex}"
+    lines = write_bucketed(star.items(spark, sf_dir), f"{name}_items", f"{root}/items", ["purchase_id"], 8)
+    header = write_bucketed(star.purchases(spark, sf_dir), f"{name}_purchases", f"{root}/purchases", ["purchase_id"], 8)
+    joined = lines.join(header.select("purchase_id", "customer_id", "total_amount"), "purchase_id", "left")
+    out = joined.groupBy("purchase_id").agg(
+        F.first("customer_id").alias("customer_id"), F.count("*").alias("lines"), F.sum("total_price").alias("items_total"),
+        F.max("total_amount").alias("total_amount"))
+    return shown(out, items_total=2)
+
+
 def basket_reconcile(spark, sf_dir):
     return shown(quality.basket_reconcile(star.purchases(spark, sf_dir), star.items(spark, sf_dir)),
                  items_total=2, difference=2)
@@ -213,6 +237,31 @@ def top10_products(spark, sf_dir):
     return shown(dashboards.top_products(star.items(spark, sf_dir), 10), revenue=2)
 
 
+def top10_from_states(spark, sf_dir):
+    """Best sellers from the lists of eight batches of sales, which name the candidates of an exact second pass."""
+    root = work_dir(spark, "best-sellers")
+    items = star.items(spark, sf_dir).withColumn("batch", F.pmod(F.xxhash64("purchase_id"), F.lit(8)).cast("int"))
+    for batch_id in range(8):
+        write_batch(sketches.top_state(items.where(F.col("batch") == batch_id), 200), f"{root}/top", batch_id)
+    states = read_batches(spark, f"{root}/top", "key bigint, amount double, cut double")
+    return shown(sketches.best_sellers(items, states, 10), revenue=2)
+
+
+def distinct_buyers_sketch(spark, sf_dir):
+    """Buyers per store and year, merged from sketches per store and day: whether the estimate keeps its bound."""
+    sales = star.purchases(spark, sf_dir)
+    root = work_dir(spark, "sketches")
+    day = F.to_date("purchase_datetime").alias("day")
+    write_batch(sketches.distinct_states(sales, ["store_id", day], "customer_id"), f"{root}/days", 0)
+    days = read_batches(spark, f"{root}/days", "store_id string, day date, rows bigint, sketch binary")
+    years = sketches.merge_distinct(days, ["store_id", F.year("day").alias("year")])
+    exact = sales.groupBy("store_id", F.year("purchase_datetime").alias("year")).agg(F.count_distinct("customer_id").alias("buyers"))
+    both = sketches.distinct_estimate(years, "estimate").join(exact, ["store_id", "year"])
+    off = F.abs(F.col("estimate") - F.col("buyers"))
+    return shown(both.select("store_id", "year", F.col("rows").alias("purchases"), "buyers",
+                             (off <= F.ceil(F.col("buyers") * sketches.relative_error())).alias("within_bound")))
+
+
 def trend_by_day(spark, sf_dir):
     return shown(dashboards.trend_by_day(star.purchases(spark, sf_dir)), revenue=2)
 
@@ -362,6 +411,19 @@ def csv_export(spark, sf_dir):
     return spark.read.schema(schema).option("header", True).csv(target)
 
 
+def clustered_lookup(spark, sf_dir):
+    """Purchases clustered by customer and time: those of a range of customers, of one customer in a range of days, and
+    of single purchase ids, which are not sorted by but have Bloom filters."""
+    root = work_dir(spark, "clustered")
+    keys = ["customer_id", "purchase_datetime"]
+    write_clustered(star.purchases(spark, sf_dir), root, "1", keys, bloom=["purchase_id"], files=16)
+    some = lookup(spark, root, keys[:1], [200], [260]).withColumn("asked", F.lit("customers"))
+    days = lookup(spark, root, keys, [7, datetime(1993, 1, 1)], [7, datetime(1996, 12, 31)]).withColumn("asked", F.lit("days"))
+    single = spark.read.parquet(f"{root}/version=1").where(F.col("purchase_id").isin(1, 77, 500, 1200)).withColumn(
+        "asked", F.lit("purchases"))
+    return shown(some.unionByName(days).unionByName(single))
+
+
 def table_fallback(spark, sf_dir):
     """Of two tables the first that exists: the clean one of purchases, the typed one of customers."""
     name = f"shop_{uuid.uuid4().hex}"
@@ -495,6 +557,29 @@ def stream_mart_states(spark, sf_dir):
     return _mart(mart_from_states(spark, root, as_of=star.AS_OF))
 
 
+def stream_panels(spark, sf_dir):
+    """Totals, stores, days and customers, live over two deliveries of which the second moves purchases and changes amounts."""
+    root = work_dir(spark, "panels")
+
+    def add(session, batch_id):
+        panels.add_changes(file_purchases(session, batch_id, root), batch_id, root)
+        panels.start_panels(panels.read_changes(session, root), root, f"{root}/panels-checkpoint").awaitTermination()
+        if batch_id == 0:
+            panels.compact_panels(session, root)
+
+    _stream_deliveries(spark, sf_dir, root, ["purchases"], after_batch=add, purchases=star.moved_purchase_documents)
+    parts = [panels.live_totals(spark, root).select(F.lit("total").alias("panel"), F.lit("").alias("key"), "purchases", "revenue"),
+             panels.live_stores(spark, root).select(F.lit("store").alias("panel"), F.col("store_id").alias("key"), "purchases", "revenue"),
+             panels.live_days(spark, root).select(F.lit("day").alias("panel"), F.col("day").cast("string").alias("key"), "purchases", "revenue"),
+             panels.live_activity(spark, root).select(
+                 F.lit("customer").alias("panel"), F.col("customer_id").alias("key"), "purchases", "active_days",
+                 F.date_format("last_day", "yyyy-MM-dd").alias("last_day"))]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return shown(out, revenue=2)
+
+
 def _orders_stream(spark, sf_dir):
     schema = star.table(spark, sf_dir, "orders").schema
     return spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(sf_dir)
@@ -536,15 +621,19 @@ QUERIES: dict[str, Query] = {
     "features_windowed": features_windowed,
     "features_item_weighted": features_item_weighted,
     "features_from_documents": features_from_documents,
+    "features_month_ends": features_month_ends,
     "feature_vegetarian": feature_vegetarian,
     "feature_profile": feature_profile,
     "items_enriched": items_enriched,
     "purchase_items_explode": purchase_items_explode,
     "orphan_purchases": orphan_purchases,
     "basket_reconcile": basket_reconcile,
+    "baskets_copartitioned": baskets_copartitioned,
     "revenue_by_store": revenue_by_store,
     "revenue_by_region": revenue_by_region,
     "top10_products": top10_products,
+    "top10_from_states": top10_from_states,
+    "distinct_buyers_sketch": distinct_buyers_sketch,
     "trend_by_day": trend_by_day,
     "customer_activity": customer_activity,
     "volume_totals": volume_totals,
@@ -561,6 +650,7 @@ QUERIES: dict[str, Query] = {
     "mask_texts": mask_texts,
     "clean_exact": clean_exact,
     "csv_export": csv_export,
+    "clustered_lookup": clustered_lookup,
     "table_fallback": table_fallback,
     "mart_defaults": mart_defaults,
     "best_effort_times": best_effort_times,
@@ -576,6 +666,7 @@ QUERIES: dict[str, Query] = {
     "stream_compacted": stream_compacted,
     "stream_mart_refresh": stream_mart_refresh,
     "stream_mart_states": stream_mart_states,
+    "stream_panels": stream_panels,
     "stream_redelivery_dedup": stream_redelivery_dedup,
     "stream_trend_by_day": stream_trend_by_day,
 }

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from tillflow.operators.dedup import keep_latest
+
 
 def stamped(df: DataFrame) -> DataFrame:
     """Add the load time. Called on the way to storage only, so no compared result depends on it."""
@@ -62,11 +64,15 @@ def publish_version(df: DataFrame, root: str, version: str, *, sort_by: Sequence
     out = df.repartition(*partition_by) if partition_by else df
     out = out.sortWithinPartitions(*sort_by) if sort_by else out
     out.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{root}/version={version}")
-    note = df.sparkSession.range(1).select(F.lit(version).alias("version"))
-    note.write.mode("append").parquet(f"{root}/published")
+    announce_version(df.sparkSession, root, version)
     return version
 
 
+def announce_version(spark: SparkSession, root: str, version: str) -> None:
+    """Make a complete version the one that readers take."""
+    spark.range(1).select(F.lit(version).alias("version")).write.mode("append").parquet(f"{root}/published")
+
+
 def refresh_folder(df: DataFrame, root: str, version: str, *, sort_by: Sequence[str] = ()) -> str:
     """Full refresh of a folder table: :func:`publish_version`, returning the version's path."""
     return f"{root}/version={publish_version(df, root, version, sort_by=sort_by)}"
@@ -85,3 +91,34 @@ def latest_version(spark: SparkSession, root: str) -> str | None:
 def read_latest(spark: SparkSession, root: str) -> DataFrame:
     """The newest published version below ``root``, which may be an empty table."""
     return spark.read.parquet(f"{root}/version={latest_version(spark, root)}")
+
+
+def read_versioned(spark: SparkSession, folder: str, schema: str, before: int | None = None) -> DataFrame:
+    """The newest compacted version and the batches after it, with ``batch_id``; only batches ``before`` that one, if given.
+
+    A version that already holds batch ``before`` is of no use for a replay of it; the batches themselves are read then.
+    """
+    rows, version = read_batches(spark, f"{folder}/batches", schema), latest_version(spark, f"{folder}/compact")
+    if before is not None:
+        rows = rows.where(F.col("batch_id") < before)
+    if version is None or (before is not None and int(version) >= before):
+        return rows
+    compact = spark.read.schema(f"{schema}, batch_id bigint").parquet(f"{folder}/compact/version={version}")
+    return rows.where(F.col("batch_id") > int(version)).unionByName(compact)
+
+
+def latest_rows(spark: SparkSession, folder: str, schema: str, keys: Sequence[str]) -> DataFrame:
+    """The last written row of each key, with its ``batch_id``."""
+    return keep_latest(read_versioned(spark, folder, schema), keys, ["batch_id"])
+
+
+def compact_latest(spark: SparkSession, folder: str, schema: str, keys: Sequence[str]) -> str | None:
+    """Fold all batches so far into one version with the last row of each key; later reads rank only newer batches with it.
+
+    Returns the version, or None if there is nothing new to fold.
+    """
+    newest = read_batches(spark, f"{folder}/batches", schema).agg(F.max("batch_id")).first()[0]
+    if newest is None or f"{newest:020d}" == latest_version(spark, f"{folder}/compact"):
+        return None
+    rows = latest_rows(spark, folder, schema, keys).where(F.col("batch_id") <= newest)
+    return publish_version(rows, f"{folder}/compact", f"{newest:020d}", sort_by=keys)

@@ -27,3 +27,9 @@ def first_existing(spark: SparkSession, *tables: str) -> DataFrame:
         if spark.catalog.tableExists(table):
             return spark.table(table)
     raise ValueError(f"none of the tables exists: {', '.join(tables)}")
+
+
+def is_complete(spark: SparkSession, folder: str) -> bool:
+    """Whether a folder of files was written to its end, wherever it is stored."""
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)

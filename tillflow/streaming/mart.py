@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillflow.functions.clock import AsOf
 from tillflow.operators.dedup import keep_latest
 from tillflow.operators.mart import customer_mart, registered_lately
-from tillflow.sinks.tables import read_batches, write_batch
+from tillflow.sinks.tables import compact_latest, latest_rows, read_batches, read_versioned, write_batch
 from tillflow.streaming import shelves
 from tillflow.streaming.ingest import CLEAN_SCHEMA
 
@@ -48,10 +48,10 @@ def refresh_affected(spark: SparkSession, batch_id: int, root: str, *, as_of: As
     affected = spark.read.schema("customer_id string").parquet(stored)
     theirs = shelves.purchases_in(spark, root, shelves.all_slices(affected), batch_id, buckets)
     wanted = affected.withColumn("bucket", shelves.bucket_of(buckets, "customer_id"))
-    records = shelves.read_versioned(spark, f"{shelves.shelf(root, buckets)}/customers", CUSTOMERS, before=batch_id + 1)
+    records = read_versioned(spark, f"{shelves.shelf(root, buckets)}/customers", CUSTOMERS, before=batch_id + 1)
     who = keep_latest(shelves.in_buckets_of(records, wanted).join(wanted, ["bucket", "customer_id"], "left_semi"),
                       ["customer_id"], ["ins_ts", "batch_id"])
-    return write_batch(affected.join(customer_mart(theirs, who, as_of=as_of), "customer_id", "left"), f"{root}/mart", batch_id)
+    return write_batch(affected.join(customer_mart(theirs, who, as_of=as_of), "customer_id", "left"), f"{root}/mart/batches", batch_id)
 
 
 def current_mart(spark: SparkSession, root: str, *, as_of: AsOf = None) -> DataFrame:
@@ -59,7 +59,11 @@ def current_mart(spark: SparkSession, root: str, *, as_of: AsOf = None) -> DataF
 
     Who is new changes with time alone, so that flag is judged when read, not when stored.
     """
-    rows = read_batches(spark, f"{root}/mart", MART_SCHEMA)
-    latest = keep_latest(rows, ["customer_id"], ["batch_id"]).where(F.col("purchase_count").isNotNull())
+    latest = latest_rows(spark, f"{root}/mart", MART_SCHEMA, ["customer_id"]).where(F.col("purchase_count").isNotNull())
     is_new = F.when(registered_lately(latest, as_of), 1).otherwise(0)
     return latest.withColumn("new_customer", is_new).drop("batch_id")
+
+
+def compact_mart(spark: SparkSession, root: str) -> str | None:
+    """Fold the refreshed rows so far into one version with one row per customer."""
+    return compact_latest(spark, f"{root}/mart", MART_SCHEMA, ["customer_id"])

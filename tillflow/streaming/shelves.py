@@ -2,8 +2,8 @@
 
 Two tables below ``root/shelf-<buckets>``, both written batch by batch with the bucket as a partition column:
 
-``owners``  who a purchase belonged to at each delivery, in the bucket of its id. It tells a batch which of its purchases were
-            delivered before and to whom.
+``owners``  every delivery of a purchase, in the bucket of its id. It tells a batch which of its purchases were delivered
+            before, to whom and with what.
 ``held``    the purchases of each customer, in the bucket of the customer and the purchase's slice. A purchase that moved to
             another customer leaves a removal with the former one, so a customer's rows are complete in themselves.
 
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.operators.dedup import keep_latest
-from tillflow.sinks.tables import latest_version, publish_version, read_batches, write_batch
+from tillflow.sinks.tables import publish_version, read_batches, read_versioned, write_batch
 from tillflow.streaming.ingest import CLEAN_SCHEMA
 
 BUCKETS = 64
@@ -26,9 +26,10 @@ SLICES = 8
 
 _PURCHASE = ("purchase_id string, customer_id string, store_id string, total_amount double, payment_method string, "
              "is_delivery int, purchase_datetime timestamp, ins_ts timestamp")
-OWNERS = "purchase_id string, customer_id string, ins_ts timestamp, bucket int"
+OWNERS = f"{_PURCHASE}, bucket int"
 HELD = f"{_PURCHASE}, slice int, removed boolean, bucket int"
-FILED = f"{_PURCHASE}, slice int, resent boolean, former string"
+_WAS = "store_id string, total_amount double, purchase_datetime timestamp"
+FILED = f"{_PURCHASE}, slice int, resent boolean, former string, was struct<{_WAS}>"
 
 _LATEST = ("ins_ts", "batch_id")
 
@@ -45,20 +46,6 @@ def shelf(root: str, buckets: int) -> str:
     return f"{root}/shelf-{buckets}"
 
 
-def read_versioned(spark: SparkSession, folder: str, schema: str, before: int | None = None) -> DataFrame:
-    """The newest compacted version and the batches after it, with ``batch_id``; only batches ``before`` that one, if given.
-
-    A version that already holds batch ``before`` is of no use for a replay of it; the batches themselves are read then.
-    """
-    rows, version = read_batches(spark, f"{folder}/batches", schema), latest_version(spark, f"{folder}/compact")
-    if before is not None:
-        rows = rows.where(F.col("batch_id") < before)
-    if version is None or (before is not None and int(version) >= before):
-        return rows
-    compact = spark.read.schema(f"{schema}, batch_id bigint").parquet(f"{folder}/compact/version={version}")
-    return rows.where(F.col("batch_id") > int(version)).unionByName(compact)
-
-
 def in_buckets_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """The rows of the buckets (column ``bucket``) that ``wanted`` names, as a filter on the partition column."""
     numbers = sorted(r.bucket for r in wanted.select("bucket").distinct().collect())
@@ -71,7 +58,8 @@ def _put(df: DataFrame, folder: str, batch_id: int) -> None:
 
 
 def file_purchases(spark: SparkSession, batch_id: int, root: str, buckets: int = BUCKETS) -> DataFrame:
-    """Put the clean purchases of one batch on the shelf and return them with ``resent`` and ``former`` owner.
+    """Put the clean purchases of one batch on the shelf and return them with ``resent``, the ``former`` owner, and what the
+    purchase ``was`` at its delivery before.
 
     A row that is older than the delivery already there counts for nothing. A replay files the same rows again.
     """
@@ -81,18 +69,19 @@ def file_purchases(spark: SparkSession, batch_id: int, root: str, buckets: int =
     owners = read_versioned(spark, f"{place}/owners", OWNERS, before=batch_id)
     known = in_buckets_of(owners, batch).join(batch.select("bucket", "purchase_id"), ["bucket", "purchase_id"], "left_semi")
     earlier = keep_latest(known, ["bucket", "purchase_id"], _LATEST).select(
-        "bucket", "purchase_id", F.col("customer_id").alias("former"), F.col("ins_ts").alias("before"))
+        "bucket", "purchase_id", F.col("customer_id").alias("former"), F.col("ins_ts").alias("before"),
+        F.struct("store_id", "total_amount", "purchase_datetime").alias("was"))
     met = batch.join(earlier, ["bucket", "purchase_id"], "left").where("before IS NULL OR before <= ins_ts")
     path = write_batch(met.select(*[c.split()[0] for c in _PURCHASE.split(", ")], slice_of().alias("slice"),
-                                  F.col("before").isNotNull().alias("resent"), "former"), f"{place}/filed", batch_id)
+                                  F.col("before").isNotNull().alias("resent"), "former", "was"), f"{place}/filed", batch_id)
     filed = spark.read.schema(FILED).parquet(path)
 
-    _put(filed.select("purchase_id", "customer_id", "ins_ts", bucket_of(buckets, "purchase_id").alias("bucket")),
+    _put(filed.drop("slice", "resent", "former", "was").withColumn("bucket", bucket_of(buckets, "purchase_id")),
          f"{place}/owners", batch_id)
     own = filed.withColumn("removed", F.lit(False))
     left = filed.where("former IS NOT NULL AND NOT former <=> customer_id").withColumns(
         {"customer_id": F.col("former"), "removed": F.lit(True)})
-    held = own.unionByName(left).where("customer_id IS NOT NULL").drop("resent", "former")
+    held = own.unionByName(left).where("customer_id IS NOT NULL").drop("resent", "former", "was")
     _put(held.withColumn("bucket", bucket_of(buckets, "customer_id", "slice")), f"{place}/held", batch_id)
     return filed
 

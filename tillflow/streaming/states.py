@@ -17,7 +17,7 @@ from tillflow.functions.clock import AsOf
 from tillflow.operators.dedup import keep_latest
 from tillflow.operators.mart import customer_records, payment_counts, registered_lately
 from tillflow.schemas import MART_COLUMNS
-from tillflow.sinks.tables import latest_version, publish_version, read_batches, write_batch
+from tillflow.sinks.tables import latest_version, publish_version, read_batches, read_versioned, write_batch
 from tillflow.streaming import shelves
 from tillflow.streaming.ingest import current
 
@@ -75,7 +75,7 @@ def add_states(spark: SparkSession, batch_id: int, root: str, buckets: int = she
 
 def _live(spark: SparkSession, root: str) -> DataFrame:
     """The states that count: of each cell, the rows since it was last replaced."""
-    rows = shelves.read_versioned(spark, f"{root}/states", STATES)
+    rows = read_versioned(spark, f"{root}/states", STATES)
     since = F.max(F.when(F.col("replaces"), F.col("batch_id"))).over(Window.partitionBy(*_CELL))
     return rows.withColumn("since", since).where("since IS NULL OR batch_id >= since").drop("since")
 

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillflow.operators.dedup import keep_latest
-from tillflow.sinks.tables import read_batches, write_batch
+from tillflow.sinks.tables import compact_latest, latest_rows, write_batch
 
 TREND_SCHEMA = "day date, purchases bigint, revenue double"
 
@@ -27,19 +26,25 @@ def trend_by_day_stream(purchases: DataFrame, delay: str = "1 day") -> DataFrame
     )
 
 
-def start_trend(purchases: DataFrame, root: str, checkpoint: str, delay: str = "1 day") -> StreamingQuery:
-    """Append the corrected days of each batch, up to the end of what the source holds now."""
+def start_trend(purchases: DataFrame, root: str, checkpoint: str, delay: str = "1 day", *, every: str | None = None
+                ) -> StreamingQuery:
+    """Append the corrected days of each batch, up to the end of what the source holds now; with ``every``, e.g.
+    ``"10 seconds"``, go on in batches of that interval until stopped."""
     return (
         trend_by_day_stream(purchases, delay)
         .writeStream.outputMode("update")
-        .foreachBatch(lambda batch, batch_id: write_batch(batch, f"{root}/trend", batch_id) and None)
+        .foreachBatch(lambda batch, batch_id: write_batch(batch, f"{root}/trend/batches", batch_id) and None)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**({"processingTime": every} if every else {"availableNow": True}))
         .start()
     )
 
 
 def current_trend(spark: SparkSession, root: str) -> DataFrame:
     """The last correction of each day."""
-    rows = read_batches(spark, f"{root}/trend", TREND_SCHEMA)
-    return keep_latest(rows, ["day"], ["batch_id"]).drop("batch_id")
+    return latest_rows(spark, f"{root}/trend", TREND_SCHEMA, ["day"]).drop("batch_id")
+
+
+def compact_trend(spark: SparkSession, root: str) -> str | None:
+    """Fold the corrections so far into one version with one row per day."""
+    return compact_latest(spark, f"{root}/trend", TREND_SCHEMA, ["day"])

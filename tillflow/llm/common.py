@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +34,29 @@ def written(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_written(*tables: DataFrame | None) -> None:
+    """Remove tables made by :func:`written` that no returned DataFrame reads any more."""
+    for table in tables:
+        for file in (table.inputFiles()[:1] if table is not None else []):
+            folder = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(file).getParent()
+            folder.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
+def trimmed(function):
+    """``function`` of record batches that gives unused memory back to the system when a task is done with it.
+
+    Python workers live on from task to task; what their allocators keep counts against the executor.
+    """
+
+    def run(batches):
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # only where the C library has it
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def with_results(df: DataFrame, **results: Column) -> DataFrame:
     """The columns of ``df`` and the results; a result replaces an input column of its name."""
     kept = [F.col(f"`{c}`") for c in df.columns if c not in results]

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import written
+from tillflow.llm.common import drop_written, written
 
 MOST_ROUNDS = 100
 
@@ -30,7 +30,9 @@ def components(links: DataFrame) -> DataFrame:
             "hi", F.coalesce("pp", "p").alias("lo"), F.col("pp").isNotNull().alias("moved"))
         others = edges.join(parents, "hi").where("lo <> p").select(
             F.col("lo").alias("hi"), F.col("p").alias("lo"), F.lit(True).alias("moved"))
+        before = edges
         edges = written(jumped.unionAll(others).groupBy("hi", "lo").agg(F.max("moved").alias("moved")), "edges")
+        drop_written(parents, before)
         if not edges.agg(F.max("moved")).first()[0]:
             break
     else:

@@ -4,7 +4,8 @@ Every distinct shingle set is posted under its (coordinate, value) pairs. Of ``C
 share ``MATCHES`` to be compared; ordered by how many sets hold a pair, rarest first, such sets share one of
 their first ``COORDINATES - MATCHES + 1`` pairs, so only those are joined (prefix), and sets with too few pairs
 that any other set holds are never posted (skip). Two sets of similarity 0.8 share fewer than ``MATCHES`` pairs
-with probability 4e-6. What is left is confirmed on the full sets of 64-bit shingle hashes.
+with probability 7e-6. What is left is confirmed on the full sets of 64-bit shingle hashes; before that, signatures are
+compared by one byte a coordinate, which lets more pairs pass but loses none.
 
 Links inside a large group are not enumerated. In each posting list all sets are compared with one of them, the
 centre, which shares most with the others; this is repeated ``ROUNDS`` times with other centres in the lists whose sets are not of one component yet.
@@ -29,13 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillflow.llm.common import fresh, text_of, written
+from tillflow.llm.common import drop_written, fresh, text_of, trimmed, written
 from tillflow.llm.components import components
 
 SHINGLE = 5
 SIMILARITY = 0.8
-COORDINATES = 64
-MATCHES = 36
+COORDINATES = 32
+MATCHES = 15
 ROUNDS = 2
 SHORT_LIST = 32
 
@@ -105,7 +106,7 @@ def _described(size: int, text_column: str, names: list[str]):
                 part = batch.slice(at, len(run))
                 yield pa.RecordBatch.from_arrays([*part.columns, *extra], [*part.schema.names, *names])
 
-    return describe
+    return trimmed(describe)
 
 
 def _sets(size: int):
@@ -118,23 +119,7 @@ def _sets(size: int):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, len(run)), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
-    return describe
-
-
-def _confirmed(percent: int):
-    """A function of record batches (a, b, shingles of a, of b): the pairs similar enough."""
-
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = batch.column(2), batch.column(3)
-            keep = []
-            for i in range(batch.num_rows):
-                x, y = (c[i].values.to_numpy(zero_copy_only=False) for c in (left, right))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
-
-    return confirm
+    return trimmed(describe)
 
 
 def _postings(sets: DataFrame) -> DataFrame:
@@ -152,8 +137,10 @@ def _postings(sets: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("held", "token"))).alias("tokens"))
     # Tokens no other set holds come first in the order and take their places of the prefix.
     free = prefix - (COORDINATES - F.size("tokens"))
-    return listed.where(free > 0).select(
-        "node", "weight", F.explode(F.slice("tokens", F.lit(1), free)).alias("t")).select("t.token", "node", "weight")
+    posted = written(listed.where(free > 0).select(
+        "node", "weight", F.explode(F.slice("tokens", F.lit(1), free)).alias("t")).select("t.token", "node", "weight"), "postings")
+    drop_written(shared)
+    return posted
 
 
 def _matching(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -170,15 +157,19 @@ def _small(df: DataFrame) -> DataFrame:
 
 def _links(pairs: DataFrame, sets: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """The candidate pairs (a, b) that signatures and full sets confirm."""
-    pairs = _small(written(_matching(pairs.distinct(), sets), "pairs"))
+    stored = written(_matching(pairs.distinct(), sets), "pairs")
+    pairs = _small(stored)
     a, b = (full.withColumnRenamed("node", c).join(pairs, c).select("a", "b", F.col("shingles").alias(f"s{c}")) for c in "ab")
-    both = a.join(b, ["a", "b"]).select("a", "b", "sa", "sb")
-    return written(both.mapInArrow(_confirmed(percent), "a long, b long"), "links")
+    both = a.join(b, ["a", "b"]).select("a", "b", (F.size("sa") + F.size("sb")).cast("long").alias("sizes"),
+                                        F.size(F.array_intersect("sa", "sb")).cast("long").alias("both"))
+    links = written(both.where(100 * F.col("both") >= percent * (F.col("sizes") - F.col("both"))).select("a", "b"), "links")
+    drop_written(stored)
+    return links
 
 
 def _all_links(posted: DataFrame, sets: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """Links that connect all sets that chains of similar sets connect."""
-    links, apart = None, posted.withColumn("root", F.col("node"))
+    links, apart, done = None, posted.withColumn("root", F.col("node")), []
     for turn in range(ROUNDS):
         # The first centre is the set nearest to all others, as the original of edited copies is; later ones are any.
         by = F.struct((-F.col("weight") if turn == 0 else F.xxhash64("node", "token", F.lit(turn))).alias("by"), "node", "root")
@@ -186,17 +177,25 @@ def _all_links(posted: DataFrame, sets: DataFrame, full: DataFrame, percent: int
             "token", F.col("c.node").alias("a"), F.col("c.root").alias("ra")), "centres")
         pairs = apart.join(centres, "token").where("ra <> root").select("a", F.col("node").alias("b"))
         found = _links(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), sets, full, percent)
+        drop_written(centres, *done)
         links = found if links is None else links.unionAll(found)
-        labelled = written(posted.join(written(components(links), "roots"), "node", "left").select(
+        roots = written(components(links), "roots")
+        labelled = written(posted.join(roots, "node", "left").select(
             "token", "node", "weight", F.coalesce("root", "node").alias("root")), "labelled")
         several = written(labelled.groupBy("token").agg(
             F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("length"))
             .where("least < most").select("token", "length"), "several")
         apart = written(labelled.join(several, "token"), "apart")
+        drop_written(roots, labelled, several)
+        done = [apart]
+        if apart.isEmpty():
+            return links
     short, long = apart.where(F.col("length") <= SHORT_LIST), apart.where(F.col("length") > SHORT_LIST)
     x = short.select("token", F.col("node").alias("a"), F.col("root").alias("ra"))
     y = short.select("token", F.col("node").alias("b"), F.col("root").alias("rb"))
-    pairs = x.join(y, "token").where("a < b AND ra <> rb").select("a", "b").unionAll(_rest(long, full, percent))
+    pairs = x.join(y, "token").where("a < b AND ra <> rb").select("a", "b")
+    if not long.isEmpty():
+        pairs = pairs.unionAll(_rest(long, full, percent))
     return links.unionAll(_links(pairs, sets, full, percent))
 
 
@@ -249,18 +248,25 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", shing
     sets = written(first.select("k1", "k2", "m.first", F.col("m.first.node").alias("node"), "m.n", "m.signature"), "sets")
     texts = base.select(F.col(node).alias("node"), F.col(f"`{whole}`").alias("whole"))
 
-    posted = written(_postings(sets), "postings")
-    # Full sets and signatures of all texts that are compared with any other.
-    compared = _small(written(posted.select("node").distinct(), "compared"))
-    full = written(texts.join(compared, "node", "left_semi").select("node", "whole").mapInArrow(
-        _sets(shingle), "node long, shingles array<long>"), "shingles")
-    signatures = written(sets.select("node", "signature").join(compared, "node", "left_semi"), "signatures")
-    links = _all_links(posted, signatures, full, percent)
-
-    rooted = sets.join(components(links), "node", "left").select(
-        "k1", "k2", "first", F.coalesce("root", "node").alias("root"))
+    posted, roots, done = _postings(sets), None, []
+    if not posted.isEmpty():
+        # Full sets and short signatures of all texts that are compared with any other.
+        compared = written(posted.select("node").distinct(), "compared")
+        chosen = _small(compared)
+        full = written(texts.join(chosen, "node", "left_semi").select("node", "whole").mapInArrow(
+            _sets(shingle), "node long, shingles array<long>"), "shingles")
+        short = F.transform("signature", lambda v: (v.bitwiseAND(255) - 128).cast("tinyint"))
+        signatures = written(sets.join(chosen, "node", "left_semi").select("node", short.alias("signature")), "signatures")
+        links = _all_links(posted, signatures, full, percent)
+        roots = written(components(links), "roots")
+        done = [compared, full, signatures]
+    drop_written(posted, *done)
+
+    own = F.col("node") if roots is None else F.coalesce("root", "node")
+    rooted = (sets if roots is None else sets.join(roots, "node", "left")).select("k1", "k2", "first", own.alias("root"))
     named = written(rooted.groupBy("root").agg(F.min("first").alias("named")), "named")
-    labels = rooted.join(named, "root").select(F.col("k1").alias("l1"), F.col("k2").alias("l2"), "named")
+    labels = written(rooted.join(named, "root").select(F.col("k1").alias("l1"), F.col("k2").alias("l2"), "named"), "labels")
+    drop_written(sets, named, roots)
     out = base.join(labels, (F.col(k1) == F.col("l1")) & (F.col(k2) == F.col("l2")) & (F.col(n) > 0), "left")
     own = F.struct(F.col(f"`{id}`").alias("id"), F.col(node).alias("node"))
     name = F.when(F.col("named").isNotNull(), F.struct("named.id", "named.node")).otherwise(own)

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import text_of, written
+from tillflow.llm.common import text_of, trimmed, written
 
 CODE_BITS = 7
 LANE = 256
@@ -242,8 +242,8 @@ def word_symbols(tokens: Tokens, places: np.ndarray) -> Symbols:
     first = np.repeat(np.cumsum(tokens.counts) - tokens.counts, tokens.counts)
     last = _shifted(tokens.hashes, 1, first, _END)
     two = last * _ODD + _shifted(tokens.hashes, 2, first, _END)
-    return Symbols(np.where(known, _code(tokens.hashes), 2**CODE_BITS), np.where(known, CODE_BITS + 1, 1), [None, last, two],
-                   tokens.counts)
+    return Symbols(np.where(known, _code(tokens.hashes), 2**CODE_BITS).astype(np.int32),
+                   np.where(known, CODE_BITS + 1, 1).astype(np.int32), [None, last, two], tokens.counts)
 
 
 def spelled_symbols(tokens: Tokens, places: np.ndarray) -> Symbols:
@@ -254,24 +254,37 @@ def spelled_symbols(tokens: Tokens, places: np.ndarray) -> Symbols:
     inside = np.arange(len(first)) - first
     at = np.repeat(starts, sizes) + inside
     closing = inside == np.repeat(sizes - 1, sizes)
-    values = np.full(len(at), _CLOSE, np.int64)
+    values = np.full(len(at), _CLOSE, np.int32)
     values[~closing] = tokens.data[at[~closing]]
     contexts, mixed = [None], np.zeros(len(at), np.uint64)
     for by in (1, 2):
         mixed = mixed * np.uint64(257) + _shifted(values, by, first, _CLOSE).astype(np.uint64) + np.uint64(1)
         contexts.append(mixed)
-    return Symbols(values, np.full(len(at), 8), contexts, sizes)
+    return Symbols(values, np.full(len(at), 8, np.int32), contexts, sizes)
+
+
+def _count_plain(layer: Layer, symbols: Symbols, table: np.ndarray) -> None:
+    """The counts without context follow from how often each value stands there."""
+    for depth in np.unique(symbols.depths):
+        times = np.bincount(symbols.values[symbols.depths == depth])
+        values = np.flatnonzero(times).astype(np.int32)
+        for bit in range(int(depth)):
+            entry = 2 * (layer.bases(0, bit // 4, None, values) + layer.inner(bit, values)) + layer.one(bit, values)
+            table += np.bincount(entry, times[values], len(table)).astype(table.dtype)
 
 
 def count_bits(layer: Layer, symbols: Symbols, tables: list[np.ndarray]) -> None:
     """Add the zeros and ones of the symbols to the tables: entry ``2 * slot + bit``."""
     for j, table in enumerate(tables):
+        if j == 0:
+            _count_plain(layer, symbols, table)
+            continue
         events = []
         for bit in range(layer.bits):
             if bit % 4 == 0:
                 here = np.flatnonzero(symbols.depths > bit)
                 values, context = symbols.values[here], symbols.contexts[j]
-                base = layer.bases(j, bit // 4, None if context is None else context[here], values)
+                base = layer.bases(j, bit // 4, context[here], values)
             deep = slice(None) if bit % 4 == 0 else symbols.depths[here] > bit
             events.append((2 * (base + layer.inner(bit, values)) + layer.one(bit, values))[deep])
         table += np.bincount(np.concatenate(events), minlength=len(table)).astype(table.dtype)
@@ -333,26 +346,32 @@ class Mixer:
                 if bit % 4 == 0:
                     first = [b.take(at) for b in bases[bit // 4]]
                 one, inner = layer.one(bit, values), layer.inner(bit, values)
+                if self.leave_out:
+                    own_one = one.astype(np.uint32)
+                    own_zero = 1 - own_one
+                one = one.astype(np.float32)
                 inputs, place = [], here * GATES + (16 if bit == 0 else 0)
                 for j, table in enumerate(self.tables):
                     both = table.take(first[j] + inner)
                     zeros, ones = both & 0xFFFF, both >> 16
                     if self.leave_out:
-                        zeros, ones = zeros - ((one == 0) & (zeros > 0)), ones - ((one == 1) & (ones > 0))
+                        zeros, ones = zeros - np.minimum(zeros, own_zero), ones - np.minimum(ones, own_one)
                     inputs.append(_LOGS.take(ones) - _LOGS.take(zeros))
                     if j >= INPUTS - 3:
                         place += _SEEN.take(zeros + ones) << (2 * (j - INPUTS + 3))
                 inputs.append(BIAS)
                 own = weights.take(place, axis=0)
-                total = sum(own[:, j] * x for j, x in enumerate(inputs))
-                error = one - 1 / (1 + np.exp(-np.clip(total, -12, 12)))
+                total = own[:, 0] * inputs[0]
+                for j in range(1, INPUTS):
+                    total += own[:, j] * inputs[j]
+                error = one - 1 / (1 + np.exp(-np.minimum(np.maximum(total, -12), 12)))
                 kept *= 1 - np.abs(error)
-                move = error.astype(np.float32) * RATE
+                move = error * RATE
                 for j, x in enumerate(inputs):
                     own[:, j] += move * x
                 rows[place] = own.view(np.complex128)[:, 0]
                 if self.leave_out:
-                    uses[place] += 1
+                    uses[place] = uses.take(place) + 1
             else:
                 logs[here] += np.log(kept)
         if self.leave_out:
@@ -393,7 +412,7 @@ def _counted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """(h, c): how often each word's hash stands in the texts (one column)."""
-    return written(texts.mapInArrow(_counted_words, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "words")
+    return written(texts.mapInArrow(trimmed(_counted_words), "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "words")
 
 
 def frequent(words: DataFrame, most: int) -> Head:
@@ -433,7 +452,7 @@ def _counted_bits(shared, sizes: list[list[int]], bits: list[int]):
                         "number": pa.array([number], pa.int32()), "piece": pa.array([at // PIECE], pa.int32()),
                         "counts": pa.array([table[at:at + PIECE].tobytes()], pa.binary())})
 
-    return count
+    return trimmed(count)
 
 
 def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -495,7 +514,7 @@ def _ended_weights(shared):
         values = np.concatenate([mixer.sums.reshape(-1), mixer.uses])
         yield pa.RecordBatch.from_pydict({"place": pa.array(range(len(values)), pa.int32()), "value": pa.array(values)})
 
-    return run
+    return trimmed(run)
 
 
 def first_weights(texts: DataFrame, head: Head, words: Layer) -> None:
@@ -544,7 +563,7 @@ def _scored(shared, tokens_seen: int, distinct: int):
                     pa.array(np.bincount(of_known, logs[at_known], n).astype(float)), pa.array(score), tail],
                     ["id", "row", "n_tokens", "n_bytes", "known", "base", "score", "tail"])
 
-    return score
+    return trimmed(score)
 
 
 def score_texts(df: DataFrame, id: str = "doc_id", text: str = "text", head: int = HEAD, slots: int = SLOTS) -> DataFrame:

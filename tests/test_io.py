@@ -12,7 +12,7 @@ from tillflow import schemas
 from tillflow.plans import jobs
 from tillflow.session import shared_dir
 from tillflow.sinks.csv import dated_name, export_csv
-from tillflow.sinks.tables import read_batches, read_latest, refresh_folder, refresh_table, stamped, write_batch
+from tillflow.sinks.tables import _versions, drop_table, read_batches, read_latest, refresh_folder, refresh_table, stamped, write_batch
 from tillflow.sinks.topics import publish_files
 from tillflow.sources.documents import read_documents
 from tillflow.sources.tables import first_existing, read_table
@@ -86,7 +86,17 @@ def test_refresh_keeps_the_old_table_when_it_fails(spark):
     assert spark.table("kept_table").count() == 3
     refresh_table(spark.range(5), "kept_table")
     assert spark.table("kept_table").count() == 5
-    spark.sql("DROP TABLE kept_table")
+    begun = spark.table("kept_table")
+    refresh_table(spark.range(7), "kept_table")
+    assert begun.count() == 5 and spark.table("kept_table").count() == 7
+    refresh_table(spark.range(1), "kept_table")
+    assert len(_versions(spark, "kept_table")) == 2  # the newest and the one before
+    drop_table(spark, "kept_table")
+    assert not spark.catalog.tableExists("kept_table") and _versions(spark, "kept_table") == []
+    spark.range(4).write.saveAsTable("plain_table")
+    refresh_table(spark.range(2), "plain_table")
+    assert spark.table("plain_table").count() == 2
+    drop_table(spark, "plain_table")
 
 
 def test_peek(spark):

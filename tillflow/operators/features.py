@@ -115,6 +115,29 @@ def customer_features(purchases: DataFrame, lines: DataFrame, *, as_of: AsOf = N
     return joined.withColumns({f.name: F.coalesce(F.col(f.name), F.lit(f.negate)) for f in flags})
 
 
+def features_of_lines(lines: DataFrame, *, first: str, as_of: AsOf = None, flags: Sequence[CategoryFlag] = CATEGORY_FLAGS,
+                      bulk_above: float = 1000, low_below: float = 200, recurrent_above: int = 2, idle_days: int = 30,
+                      windowed: bool = False) -> DataFrame:
+    """The same features from lines alone, in one aggregate: ``first`` is true on one line of each purchase.
+
+    Every purchase, also one without items, must have such a line; purchase ids must be unique.
+    """
+    now = as_of_like(lines, "purchase_datetime", as_of)
+    today = start_of_day(now).cast(lines.schema["purchase_datetime"].dataType)
+    header, at = F.col(first), F.col("purchase_datetime")
+    amount = F.avg(F.when(header, F.col("total_amount")))
+    reference = F.max(at) if windowed else F.min(at)
+    bought = [~_bought(f, lines, as_of, windowed) if f.negate else _bought(f, lines, as_of, windowed) for f in flags]
+    out = lines.groupBy("customer_id").agg(
+        (F.count_if(header & F.col("purchase_id").isNotNull()) > recurrent_above).alias("recurrent_buyer"),
+        (amount > bulk_above).alias("bulk_buyer"), (amount < low_below).alias("low_cost_buyer"),
+        (F.max(at) > today).alias("active_today"), (reference < days_before(today, idle_days)).alias("inactive_30d"),
+        *[b.alias(f.name) for b, f in zip(bought, flags, strict=True)])
+    # As in the join of the two sides, what unknown buyers bought is nobody's.
+    known = F.col("customer_id").isNotNull()
+    return out.withColumns({f.name: F.when(known, F.col(f.name)).otherwise(F.lit(f.negate)) for f in flags})
+
+
 def features_at(purchases: DataFrame, lines: DataFrame, dates: Sequence[str], *, flags: Sequence[CategoryFlag] = CATEGORY_FLAGS,
                 bulk_above: float = 1000, low_below: float = 200, recurrent_above: int = 2, idle_days: int = 30) -> DataFrame:
     """The windowed features as of many dates in one pass: one row per date and buyer with a purchase by then.

@@ -13,16 +13,18 @@ _CARRIED = ("purchase_id", "customer_id", "store_id", "purchase_datetime", "tota
 
 
 def explode_items(purchases: DataFrame, *, keep_empty: bool = False,
-                  carry: Sequence[str] = _CARRIED) -> DataFrame:
+                  carry: Sequence[str] = _CARRIED, first: str | None = None) -> DataFrame:
     """One row per item, with the purchase columns the later steps need, so no join back is needed.
 
-    ``keep_empty`` keeps purchases without items as one row of NULL item columns.
+    ``keep_empty`` keeps purchases without items as one row of NULL item columns. ``first`` names a flag that is true on one
+    row of each purchase, so that its header can be counted once without another look at the purchases.
     """
     items = F.from_json("items_json", f"array<struct<{ITEM_ROW}>>")
-    explode = F.explode_outer if keep_empty else F.explode
+    explode = F.posexplode_outer if keep_empty else F.posexplode
     carried = [c for c in carry if c in purchases.columns]
-    return purchases.select(*carried, explode(items).alias("item")).select(
-        *carried,
+    flag = [(F.coalesce("place", F.lit(0)) == 0).alias(first)] if first else []
+    return purchases.select(*carried, explode(items).alias("place", "item")).select(
+        *carried, *flag,
         "item.product_id",
         F.col("item.name").alias("product_name"),
         F.col("item.category").alias("item_category"),

@@ -24,7 +24,7 @@ def decode(raw: DataFrame, entity: str, columns: Sequence[str] | None = None) ->
 
     One ``from_json`` per row covers every column. It sits in a one-element ``explode`` because a
     filter on ``doc`` would otherwise be pushed below the projection and decode every row twice.
-    ``source`` is the partition column of the raw table, so the filter prunes the scan to one topic.
+    The raw table has a folder per topic; a filter on its ``topic`` prunes the scan to one of them.
     ``columns`` limits decoding to the paths of those typed columns.
     """
     doc = F.from_json(

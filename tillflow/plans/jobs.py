@@ -58,11 +58,17 @@ def mart_job(purchases: DataFrame, customers: DataFrame, mart_root: str, export_
 def feature_table(purchases: DataFrame, products: DataFrame, *, as_of: datetime | str | None = None,
                   windowed: bool = False, item_weighted: bool = False, vegetarian: bool = False,
                   **thresholds) -> DataFrame:
-    """Features of clean purchases, whose items are still text."""
-    items = explode_items(purchases, keep_empty=item_weighted)
+    """Features of clean purchases, whose items are still text.
+
+    Purchases are read and their items decoded once: the header's columns come from each purchase's first line. Only the
+    item-weighted variant, an average over lines beside one over purchases, looks at the purchases again.
+    """
+    items = explode_items(purchases, keep_empty=True, first="_first")
     labelled = products.select("product_id", feat.category_group(F.col("category")).alias("category"))
     lines = enrich_items(items, labelled)
     flags = feat.CATEGORY_FLAGS + ((feat.VEGETARIAN,) if vegetarian else ())
+    if not item_weighted:
+        return feat.features_of_lines(lines, first="_first", as_of=as_of, flags=flags, windowed=windowed, **thresholds)
     return feat.customer_features(
         purchases, lines, as_of=as_of, flags=flags, windowed=windowed, item_weighted=item_weighted, **thresholds
     )

@@ -421,8 +421,9 @@ SELECT DISTINCT purchase_id, customer_id, store_id, total_amount, lower(payment_
        {_time('purchase_datetime')} AS purchase_datetime, {_DELIVERY}, ins_ts
 FROM ({_PURCHASE_DOCS}) WHERE {_GOOD_PURCHASES}""",
         "csv_export": f"SELECT {_TOTAL_COLUMNS} FROM ({_TOLERANT}) p",
-        "table_fallback": """
-SELECT 'purchases' AS entity, count(*) AS rows FROM orders UNION ALL SELECT 'customers', count(*) FROM customer""",
+        "table_fallback": f"""
+SELECT * REPLACE ({_time('purchase_datetime')} AS purchase_datetime, {_time('registration_date')} AS registration_date)
+FROM (SELECT * FROM ({_PURCHASES}) UNION ALL BY NAME SELECT * FROM ({_CUSTOMERS}))""",
         "mart_defaults": _mart(
             _totals(f"""SELECT * REPLACE (CASE WHEN customer_id % 3 = 0 THEN -customer_id - 1 ELSE customer_id END AS customer_id,
                         CASE WHEN purchase_id % 13 = 0 THEN 0 ELSE total_amount END AS total_amount,
@@ -502,6 +503,14 @@ FROM customer, {_D} WHERE d = 0 OR c_custkey % 10 = 0""",
         "stream_mart_states": _stream_mart(_MOVED_CUSTOMER, _MOVED_STORE),
         "stream_panels": _panels(),
         "stream_redelivery_dedup": "SELECT event_id, user_id FROM events",
+        "landed_redelivery": "SELECT event_id, user_id FROM events",
+        "schema_drift": f"""
+SELECT * FROM (
+SELECT 'customers' AS entity, 'nickname' AS path, 'undeclared' AS problem, 'STRING' AS kind, count(*) AS documents
+FROM ({_CUSTOMER_DOCS}) WHERE k % 4 = 0 UNION ALL
+SELECT 'products', 'price', 'retyped', 'STRING', count(*) FROM ({_PRODUCT_DOCS}) WHERE k % 5 = 0 UNION ALL
+SELECT 'stores', 'manager.age', 'undeclared', 'BIGINT', count(*) FROM ({_STORE_DOCS}) WHERE k % 2 = 0 UNION ALL
+SELECT 'purchases', 'store', 'retyped', 'STRING', count(*) FROM ({_PURCHASE_DOCS}) WHERE k % 10 = 0) WHERE documents > 0""",
         "stream_trend_by_day": """
 SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, count(*) AS purchases, round(sum(o_totalprice), 2) AS revenue
 FROM orders GROUP BY 1""",

@@ -16,14 +16,14 @@ from pyspark.sql import types as T
 from tillflow.functions.lenient import to_instant
 from tillflow.functions.masking import mask_value, normalize_phone
 from tillflow.operators import clean as cleaning
-from tillflow.operators import counting, dashboards, dedup, mart, quality, sketches
+from tillflow.operators import counting, dashboards, dedup, drift, mart, quality, sketches
 from tillflow.operators import features as feat
 from tillflow.operators import masking as docmask
 from tillflow.operators.items import enrich_items, explode_items
 from tillflow.operators.parse import parse, quarantine
 from tillflow.operators.upsert import upsert
 from tillflow.plans import jobs, star
-from tillflow.schemas import DOCUMENTS, ENTITIES, RAW
+from tillflow.schemas import DOCUMENTS, ENTITIES
 from tillflow.session import shared_dir
 from tillflow.sinks.bucketed import write_bucketed
 from tillflow.sinks.clustered import lookup, write_clustered
@@ -35,7 +35,8 @@ from tillflow.sources.tables import first_existing
 from tillflow.sources.topics import peek, subscribe_files
 from tillflow.streaming import panels
 from tillflow.streaming.dedup import drop_redelivered
-from tillflow.streaming.ingest import compact, current, raw_records, start_ingest
+from tillflow.streaming.ingest import compact, current, land_raw, raw_records, start_ingest
+from tillflow.streaming.landed import compact_bitmaps, drop_landed
 from tillflow.streaming.mart import current_mart, refresh_affected
 from tillflow.streaming.shelves import compact_shelf, file_purchases
 from tillflow.streaming.states import add_states, compact_states, mart_from_states
@@ -348,8 +349,7 @@ def publish_json_roundtrip(spark, sf_dir):
 
 
 def raw_landing(spark, sf_dir):
-    path = write_batch(raw_records(star.event_messages(spark, sf_dir)), work_dir(spark, "raw"), 0, ["source"])
-    return shown(spark.read.schema(RAW).parquet(path))
+    return shown(land_raw(raw_records(star.event_messages(spark, sf_dir)), work_dir(spark, "raw"), 0).drop("topic"))
 
 
 def _document_texts(spark, sf_dir, root):
@@ -425,16 +425,15 @@ def clustered_lookup(spark, sf_dir):
 
 
 def table_fallback(spark, sf_dir):
-    """Of two tables the first that exists: the clean one of purchases, the typed one of customers."""
+    """The rows of the first table that exists: the clean one of purchases, the typed one of customers; after a refresh of both."""
     name = f"shop_{uuid.uuid4().hex}"
-    for entity, table in (("purchases", f"clean_{name}_purchases"), ("customers", f"{name}_customers")):
-        out = getattr(star, entity)(spark, sf_dir)
-        refresh_table(out.limit(0), f"{name}_{entity}")
-        refresh_table(out, table)
-    found = [(e, first_existing(spark, f"clean_{name}_{e}", f"{name}_{e}").count()) for e in ("purchases", "customers")]
-    for table in (f"clean_{name}_purchases", f"{name}_purchases", f"{name}_customers"):
-        spark.sql(f"DROP TABLE {table}")
-    return spark.createDataFrame(found, "entity string, rows long")
+    bought, known = star.purchases(spark, sf_dir), star.customers(spark, sf_dir)
+    refresh_table(bought.withColumn("total_amount", -F.col("total_amount")), f"{name}_purchases")
+    for version in (bought.limit(0), bought):
+        refresh_table(version, f"clean_{name}_purchases")
+    refresh_table(known, f"{name}_customers")
+    first = [first_existing(spark, f"clean_{name}_{e}", f"{name}_{e}") for e in ("purchases", "customers")]
+    return shown(first[0].unionByName(first[1], allowMissingColumns=True))
 
 
 def mart_defaults(spark, sf_dir):
@@ -456,6 +455,34 @@ def best_effort_times(spark, sf_dir):
     return shown(star.table(spark, sf_dir, "orders").select(key.alias("purchase_id"), to_instant(text).alias("at")))
 
 
+def _drifted(spark, sf_dir, entity):
+    """Documents of an entity of which some have one field nobody declared or one of another type."""
+    sent = _DOCUMENTS[entity](spark, sf_dir)
+    key = {"customers": "loyalty_card_number", "products": "id", "stores": "store_id", "purchases": "purchase_id"}[entity]
+    number = F.regexp_extract(key, r"(\d+)$", 1).cast("long")
+    if entity == "customers":
+        sent = sent.withColumn("nickname", F.when(number % 4 == 0, "Bee"))
+    elif entity == "stores":
+        sent = sent.withColumn("manager", F.col("manager").withField("age", F.when(number % 2 == 0, 40)))
+    else:
+        field, every = ("price", 5) if entity == "products" else ("store", 10)
+        text = F.when(number % every == 0, F.lit("as text"))
+        sent = sent.withColumns({f"{field}_text": text, field: F.when(text.isNull(), F.col(field))})
+    rows = star.raw(sent, entity)
+    return rows.withColumn("raw_json", F.regexp_replace("raw_json", '"(price|store)_text"', '"$1"'))
+
+
+def schema_drift(spark, sf_dir):
+    """What the documents of all entities hold against their declaration."""
+    raw = None
+    for entity in ENTITIES:
+        part = _drifted(spark, sf_dir, entity)
+        raw = part if raw is None else raw.unionByName(part)
+    path = work_dir(spark, "shapes")
+    drift.shapes(raw).write.parquet(path)
+    return drift.drift_report(spark.read.parquet(path))
+
+
 def quarantine_split(spark, sf_dir):
     return shown(quarantine(raw_records(star.event_messages(spark, sf_dir))))
 
@@ -601,6 +628,20 @@ def stream_redelivery_dedup(spark, sf_dir):
     return _finish(kept.select("event_id", "user_id"), work_dir(spark, "dedup-stream"))
 
 
+def landed_redelivery(spark, sf_dir):
+    """Four batches of events, each with copies of a third of all events landed before: copies are dropped as they come."""
+    root = work_dir(spark, "landed")
+    events = star.table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id")
+    dealt = events.withColumn("turn", F.pmod(F.xxhash64("event_id"), F.lit(4)))
+    for batch_id in range(4):
+        again = dealt.where((F.col("turn") < batch_id) & (F.col("event_id") % 3 == 0))
+        sent = dealt.where(F.col("turn") == batch_id).unionByName(again).drop("turn")
+        drop_landed(sent, batch_id, root, ["event_id"], "ts")
+        if batch_id == 1:
+            compact_bitmaps(spark, root)
+    return read_batches(spark, f"{root}/kept", "event_id bigint, ts timestamp, user_id bigint").select("event_id", "user_id")
+
+
 def stream_trend_by_day(spark, sf_dir):
     orders = _orders_stream(spark, sf_dir).select(
         F.col("o_orderdate").cast("timestamp").alias("purchase_datetime"), F.col("o_totalprice").alias("total_amount"))
@@ -655,6 +696,7 @@ QUERIES: dict[str, Query] = {
     "mart_defaults": mart_defaults,
     "best_effort_times": best_effort_times,
     "quarantine_split": quarantine_split,
+    "schema_drift": schema_drift,
     **{f"parse_{e}": _parse(e) for e in ENTITIES},
     **{f"clean_{e}": _clean(e) for e in ENTITIES},
     "rejects_by_reason": rejects_by_reason,
@@ -668,5 +710,6 @@ QUERIES: dict[str, Query] = {
     "stream_mart_states": stream_mart_states,
     "stream_panels": stream_panels,
     "stream_redelivery_dedup": stream_redelivery_dedup,
+    "landed_redelivery": landed_redelivery,
     "stream_trend_by_day": stream_trend_by_day,
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -38,12 +39,43 @@ def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def refresh_table(df: DataFrame, table: str) -> None:
     """Full refresh of a catalog table, by column name; an empty input leaves an empty table.
 
-    The new table is complete before the old one goes, so a run that fails leaves the old one.
+    ``table`` is a view over the newest of its versions, which is complete before the view is turned to it in one step: there
+    is no moment without a table, and a run that fails leaves the old one. The version before stays for readers that
+    have begun; older ones go. A plain table of that name becomes the view at its first refresh.
     """
-    spark, staged = df.sparkSession, f"{table}_staged_{uuid.uuid4().hex}"
-    df.write.saveAsTable(staged)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+    spark, version = df.sparkSession, f"{table}_v{uuid.uuid4().hex}"
+    before = _version_behind(spark, table)
+    df.write.saveAsTable(version)
+    if spark.catalog.tableExists(table) and before is None:
+        spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {version}")
+    for old in _versions(spark, table):
+        if old not in (version.split(".")[-1], (before or "").split(".")[-1]):
+            spark.sql(f"DROP TABLE {'.'.join([*version.split('.')[:-1], old])}")
+
+
+def _versions(spark: SparkSession, table: str) -> list[str]:
+    """Names of the versions of a table, a handful."""
+    *database, name = table.split(".")
+    place = f" IN {'.'.join(database)}" if database else ""
+    return [r.tableName for r in spark.sql(f"SHOW TABLES{place} LIKE '{name}_v*'").collect()
+            if re.fullmatch(re.escape(name.lower()) + "_v[0-9a-f]{32}", r.tableName.lower())]
+
+
+def _version_behind(spark: SparkSession, table: str) -> str | None:
+    """The version a refreshed table's view shows, or None where there is no such view."""
+    if not spark.catalog.tableExists(table):
+        return None
+    told = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    found = re.search(r"FROM (\S+_v[0-9a-f]{32})$", told.get("View Text") or "")
+    return found.group(1) if found else None
+
+
+def drop_table(spark: SparkSession, table: str) -> None:
+    """Remove a refreshed table with all its versions."""
+    spark.sql(f"DROP VIEW IF EXISTS {table}")
+    for version in _versions(spark, table):
+        spark.sql(f"DROP TABLE {'.'.join([*table.split('.')[:-1], version])}")
 
 
 def typed_defaults(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -48,17 +48,30 @@ def raw_records(messages: DataFrame) -> DataFrame:
     )
 
 
+OTHER = "other"
+
+
+def land_raw(raw: DataFrame, path: str, batch_id: int) -> DataFrame:
+    """Store one batch of raw rows in a folder per known topic and one for all others; returns them as stored.
+
+    Whatever names senders make up, there are five folders; the name itself stays in ``source``.
+    """
+    known = F.when(F.col("source").isin(*schemas.ENTITIES), F.col("source")).otherwise(OTHER)
+    landed = write_batch(raw.withColumn("topic", known), path, batch_id, ["topic"])
+    return raw.sparkSession.read.schema(f"{schemas.RAW}, topic string").parquet(landed)
+
+
 def land_batch(messages: DataFrame, batch_id: int, root: str, *, as_of: AsOf = None) -> None:
     """Write one batch of messages through every layer below ``root``."""
     spark = messages.sparkSession
-    landed = write_batch(raw_records(messages), f"{root}/raw", batch_id, ["source"])
-    raw = spark.read.schema(schemas.RAW).parquet(landed)
+    raw = land_raw(raw_records(messages), f"{root}/raw", batch_id)
     write_batch(quarantine(raw), f"{root}/quarantine", batch_id)
     # Which of the known topics this batch holds: four names at most, whatever else was sent.
-    known = raw.where(F.col("source").isin(*schemas.ENTITIES)).select("source").distinct()
-    for entity in sorted(row.source for row in known.collect()):
+    known = raw.where(F.col("topic") != OTHER).select("topic").distinct()
+    for entity in sorted(row.topic for row in known.collect()):
         typed_path = write_batch(
-            project(decode(raw, entity).where(is_readable()), entity), f"{root}/typed/{entity}", batch_id
+            project(decode(raw.where(F.col("topic") == entity), entity).where(is_readable()), entity),
+            f"{root}/typed/{entity}", batch_id
         )
         typed = spark.read.schema(TYPED_SCHEMA[entity]).parquet(typed_path)
         # Copies inside the batch are resolved here, copies across batches by current().

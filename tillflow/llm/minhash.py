@@ -4,7 +4,7 @@ Every distinct shingle set is posted under its (coordinate, value) pairs. Of ``C
 share ``MATCHES`` to be compared; ordered by how many sets hold a pair, rarest first, such sets share one of
 their first ``COORDINATES - MATCHES + 1`` pairs, so only those are joined (prefix), and sets with too few pairs
 that any other set holds are never posted (skip). Two sets of similarity 0.8 share fewer than ``MATCHES`` pairs
-with probability 7e-6. What is left is confirmed on the full sets of 64-bit shingle hashes; before that, signatures are
+with probability 4e-6. What is left is confirmed on the full sets of 64-bit shingle hashes; before that, signatures are
 compared by one byte a coordinate, which lets more pairs pass but loses none.
 
 Links inside a large group are not enumerated. In each posting list all sets are compared with one of them, the
@@ -35,8 +35,8 @@ from tillflow.llm.components import components
 
 SHINGLE = 5
 SIMILARITY = 0.8
-COORDINATES = 32
-MATCHES = 15
+COORDINATES = 64
+MATCHES = 36
 ROUNDS = 2
 SHORT_LIST = 32
 

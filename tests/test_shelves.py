@@ -141,3 +141,19 @@ def test_more_stores_than_one_bitmap_holds(spark, tmp_path):
     assert made.count() == 5
     made.write.parquet(str(tmp_path / "lake/states/batches/batch_id=0"))
     assert rows(states.mart_totals(spark, str(tmp_path / "lake")), "purchase_count", "distinct_stores") == [(50, 5)]
+
+
+def test_many_keys_are_not_sent_to_every_task(spark, tmp_path, monkeypatch):
+    """A batch whose files are small but whose keys are counted to be many is joined by shuffles, with the same mart."""
+    lakes = []
+    for name, few in (("sent", 10**6), ("dealt", 0)):
+        monkeypatch.setattr(shelves, "FEW_KEYS", few)
+        root = str(tmp_path / name)
+        for number, batch in enumerate(batches(3, 2)):
+            land(spark, root, number, batch)
+            refresh_affected(spark, number, root, as_of=AS_OF, buckets=4)
+        cells = shelves.all_slices(spark.read.schema("customer_id string").parquet(f"{root}/affected/batch_id=1"))
+        theirs = shelves.purchases_in(spark, root, cells, 1, buckets=4)
+        assert ("BroadcastHashJoin" in theirs._jdf.queryExecution().executedPlan().toString()) == bool(few)
+        lakes.append(shown(current_mart(spark, root, as_of=AS_OF)))
+    assert lakes[0] == lakes[1]

@@ -157,3 +157,14 @@ def test_many_keys_are_not_sent_to_every_task(spark, tmp_path, monkeypatch):
         assert ("BroadcastHashJoin" in theirs._jdf.queryExecution().executedPlan().toString()) == bool(few)
         lakes.append(shown(current_mart(spark, root, as_of=AS_OF)))
     assert lakes[0] == lakes[1]
+
+
+def test_a_state_of_few_stores_is_a_short_row(spark):
+    """Task memory: a state keeps the numbers of its stores, not a bitmap of 4 KB; and rows are dealt out by their count."""
+    known = spark.createDataFrame([("s", 3, 7)], "store_id string, store_group int, place bigint")
+    bought = spark.range(1).selectExpr("'a' AS customer_id", "0 AS slice", "'s' AS store_id", "'o' AS purchase_id", "1.0D AS total_amount",
+                                       "'cash' AS payment_method", "1 AS is_delivery", "timestamp'2025-01-01' AS purchase_datetime",
+                                       "false AS replaces")
+    assert len(states._states(bought, known).first().stores) == 1
+    parts = [states._spread(bought, n, "customer_id").rdd.getNumPartitions() for n in (1, 100 * states.TASK_ROWS)]
+    assert parts == [spark.sparkContext.defaultParallelism, 100]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillflow.operators import features as feat
 from tillflow.operators import sketches
 from tillflow.operators.dashboards import top_products
-from tillflow.sinks.bucketed import SkewedBucket, bucketing, forget, write_bucketed
+from tillflow.sinks.bucketed import SkewedBucket, bucketing, buckets_for, forget, write_bucketed
 from tillflow.sinks.tables import read_batches, write_batch
 
 
@@ -115,6 +115,10 @@ def test_bucketed_tables_join_and_group_without_an_exchange(spark, no_broadcast,
     assert len(lines.inputFiles()) == 8  # every bucket is one file
 
 
+def test_buckets_grow_with_the_table(spark):
+    assert [buckets_for(spark.range(n), rows=100) for n in (0, 800, 801, 5000)] == [8, 8, 9, 50]
+
+
 def test_a_hot_key_is_no_bucketing_key(spark, tmp_path):
     hot = spark.range(40_000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"))
     with pytest.raises(SkewedBucket):

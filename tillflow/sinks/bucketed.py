@@ -16,10 +16,20 @@ from pyspark.sql import functions as F
 MOST_SHARE = 0.25
 
 
+# Rows of a bucket that one task reads, sorts and joins; what it needs for them does not grow with the table.
+BUCKET_ROWS = 400_000
+LEAST_BUCKETS = 8
+
+
 class SkewedBucket(ValueError):
     """One bucket would hold too much of the table."""
 
 
+def buckets_for(df: DataFrame, rows: int = BUCKET_ROWS) -> int:
+    """How many buckets the largest of the tables stored alike needs, so that a bucket holds about ``rows`` of its rows."""
+    return max(LEAST_BUCKETS, -(-df.count() // rows))
+
+
 def write_bucketed(df: DataFrame, table: str, folder: str, keys: Sequence[str], buckets: int, *,
                    most_share: float = MOST_SHARE) -> DataFrame:
     """Store ``df`` in ``buckets`` of ``keys``, sorted by them within each, as catalog table ``table``; returns it.

@@ -92,3 +92,26 @@ def test_folding_of_long_runs_word_ends_and_l():
                        ("1oser", "loser"), ("LO5ER", "loser"), ("1diot!", "idiot"), ("a$$$$h0le", "asssshole")):
         assert toxicity.fold(f"an {text}, here").split() == toxicity.fold(f"an {word} here").split(), text
     assert toxicity.fold("b2 a1 in 2024 x5. stop!!!you idiot!!!").split() == ["b2", "a1", "in", "2024", "x5", "stop", "you", "idiot"]
+
+
+def test_quality_learns_from_every_labelled_text(spark, corpus, monkeypatch):
+    """Nothing is sampled: texts beyond any old cap count, each is in a block and has a preference."""
+    monkeypatch.setattr(quality, "BLOCK_ROWS", 64)
+    frame, labels = corpus
+    trained = quality.training(frame, labels, "quality")
+    want = labels.where(~learning.held_out()).count()
+    n = {r.label: r.n for r in trained.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    assert sum(n.values()) == want
+    blocks = quality._in_blocks(trained, n[1], n[0]).collect()
+    assert len(blocks) == -(-want // 64) and len({t.place for b in blocks for t in b.texts}) == want
+    for b in blocks:
+        x = {y: np.array([t.x for t in b.texts if t.label == y]) for y in (0, 1)}
+        assert len(x[0]) and len(quality.preferences(x[1], x[0])) >= max(len(x[0]), len(x[1]))
+    a, b = (quality.fit(trained.repartition(k)) for k in (1, 7))
+    assert a[0].tolist() == b[0].tolist() and a[1] == b[1]
+
+
+def test_order_statistic(spark):
+    values = [float(i * i % 97) for i in range(300)] + [1e-12 * i for i in range(50)] + [-5.0] * 40
+    frame = spark.createDataFrame([(v,) for v in values], "s double")
+    assert [learning.order_statistic(frame, "s", k, bins=8) for k in (0, 39, 45, 200, 389)] == [sorted(values)[k] for k in (0, 39, 45, 200, 389)]

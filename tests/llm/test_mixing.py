@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -145,6 +146,28 @@ def test_lanes_equal_plain_mixing(monkeypatch):
         np.testing.assert_allclose(mixing.Mixer(layer).run(symbols), plain_score(layer, symbols), rtol=1e-4)
 
 
+def test_counting_holds_few_events_at_once():
+    draw, n = np.random.default_rng(9), 600_000
+    layer = mixing.layers(1 << 20, 20)[0]
+    depths = np.where(draw.random(n) < 0.7, layer.bits, 1).astype(np.int32)
+    contexts = [None, *[draw.integers(0, 5000, n).astype(np.uint64) for _ in range(2)]]
+    symbols = mixing.Symbols(draw.integers(0, 2**layer.bits, n).astype(np.int32), depths, contexts, np.array([n]))
+    tables = [np.zeros(2 << log, np.int32) for log in layer.logs]
+    tracemalloc.start()
+    mixing.count_bits(layer, symbols, tables)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 << 20  # the events of one table alone are 13 MB, in 64 bits 26 MB
+    for j, table in enumerate(tables):
+        want = np.zeros_like(table)
+        for bit in range(layer.bits):
+            deep = depths > bit
+            values, context = symbols.values[deep], None if j == 0 else contexts[j][deep]
+            slots = layer.bases(j, bit // 4, context, values) + layer.inner(bit, values)
+            want += np.bincount(2 * slots + layer.one(bit, values), minlength=len(table)).astype(np.int32)
+        assert (table == want).all()
+
+
 def test_probabilities_of_all_next_symbols_add_up_to_one():
     layer = mixing.layers(100, 16)[1]
     draw = np.random.default_rng(4)

@@ -48,10 +48,13 @@ ALPHA = np.float32(0.4)
 HEAD = 1 << 19
 SLOTS = 21
 
-# Text bytes that one task counts contexts for, that one step holds as arrays, and that are hashed at once.
+# Text bytes that one task counts contexts for, that one step holds as arrays, and that are hashed at once; counting needs
+# no lanes side by side, so its steps are one piece long.
 TASK_BYTES = 64 << 20
 CHUNK_BYTES = 4 << 20
 PIECE_BYTES = 1 << 20
+# Symbols whose events are counted at once.
+COUNTED = 1 << 17
 # Lanes that run side by side, tables added up at once, entries of a table per row.
 SIDE_BY_SIDE = 8192
 FAN_IN = 32
@@ -133,15 +136,15 @@ def tokens_of(data: np.ndarray, bounds: np.ndarray) -> Tokens:
     return Tokens(low, hashes, at, lengths, counts)
 
 
-def _chunks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, Tokens]]:
-    """(first row, rows, tokens) of runs of rows of bounded length."""
+def _chunks(batch: pa.RecordBatch, column: int, most: int | None = None) -> Iterator[tuple[int, int, Tokens]]:
+    """(first row, rows, tokens) of runs of rows of at most ``most`` bytes, or of one row."""
     texts, n = batch.column(column), batch.num_rows
     buffers = texts.buffers()
     bounds = np.frombuffer(buffers[1], np.int32)[texts.offset:texts.offset + n + 1].astype(np.int64)
     data = np.frombuffer(buffers[2], np.uint8) if buffers[2] is not None else np.empty(0, np.uint8)
-    at = 0
+    at, most = 0, CHUNK_BYTES if most is None else most
     while at < n:
-        to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + CHUNK_BYTES, "right")) - 1)
+        to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + most, "right")) - 1)
         yield at, to - at, tokens_of(data[bounds[at]:bounds[to]], bounds[at:to + 1] - bounds[at])
         at = to
 
@@ -274,20 +277,27 @@ def _count_plain(layer: Layer, symbols: Symbols, table: np.ndarray) -> None:
 
 
 def count_bits(layer: Layer, symbols: Symbols, tables: list[np.ndarray]) -> None:
-    """Add the zeros and ones of the symbols to the tables: entry ``2 * slot + bit``."""
-    for j, table in enumerate(tables):
-        if j == 0:
-            _count_plain(layer, symbols, table)
-            continue
-        events = []
+    """Add the zeros and ones of the symbols to the tables: entry ``2 * slot + bit``.
+
+    The events of few symbols are held at once, and added in place: what this takes does not follow the tables or the texts.
+    """
+    _count_plain(layer, symbols, tables[0])
+    for at in range(0, len(symbols.values), COUNTED):
+        part = slice(at, at + COUNTED)
+        depths, values = symbols.depths[part], symbols.values[part]
+        contexts = [c if c is None else c[part] for c in symbols.contexts]
         for bit in range(layer.bits):
+            deep = depths > bit
+            if not deep.all():
+                depths, values = depths[deep], values[deep]
+                contexts = [c if c is None else c[deep] for c in contexts]
+                if bit % 4:
+                    bases = [b[deep] for b in bases]
             if bit % 4 == 0:
-                here = np.flatnonzero(symbols.depths > bit)
-                values, context = symbols.values[here], symbols.contexts[j]
-                base = layer.bases(j, bit // 4, context[here], values)
-            deep = slice(None) if bit % 4 == 0 else symbols.depths[here] > bit
-            events.append((2 * (base + layer.inner(bit, values)) + layer.one(bit, values))[deep])
-        table += np.bincount(np.concatenate(events), minlength=len(table)).astype(table.dtype)
+                bases = [layer.bases(j, bit // 4, contexts[j], values) for j in range(1, len(tables))]
+            event = 2 * layer.inner(bit, values) + layer.one(bit, values)
+            for base, table in zip(bases, tables[1:], strict=True):
+                np.add.at(table, 2 * base + event, table.dtype.type(1))  # a number of the table's type is added fastest
 
 
 _LOGS = np.log(np.arange(1 << 16, dtype=np.float32) + ALPHA)
@@ -303,7 +313,7 @@ class Mixer:
     def __init__(self, layer: Layer, leave_out: bool = False):
         self.layer, self.leave_out = layer, leave_out
         # Zeros and ones of a slot as one number of 32 bits.
-        self.tables = [t.reshape(-1, 2).astype(np.uint16).view(np.uint32)[:, 0] for t in layer.tables]
+        self.tables = [t.reshape(-1, 2).astype(np.uint16, copy=False).view(np.uint32)[:, 0] for t in layer.tables]
         self.start = layer.weights if layer.weights is not None else np.full((GATES, INPUTS), 0.4, np.float32)
         self.sums, self.uses = np.zeros((GATES, INPUTS)), np.zeros(GATES)
 
@@ -440,7 +450,7 @@ def _counted_bits(shared, sizes: list[list[int]], bits: list[int]):
         tables = [[np.zeros(2 << log, np.int32) for log in k.logs] for k in kinds]
         found = False
         for batch in batches:
-            for _, _, tokens in _chunks(batch, 0):
+            for _, _, tokens in _chunks(batch, 0, PIECE_BYTES):
                 places = shared.value.places(tokens.hashes)
                 count_bits(kinds[0], word_symbols(tokens, places), tables[0])
                 count_bits(kinds[1], spelled_symbols(tokens, places), tables[1])
